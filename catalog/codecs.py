@@ -1,0 +1,173 @@
+"""Message codec queries on events in the shape of the sample topic's records."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from catalog.registry import GOODS, goods, query, table
+from tidegate.functions import (
+    add_wire_header,
+    decode_avro,
+    delimited_line,
+    encode_avro,
+    message_frame,
+    parse_delimited,
+    strip_wire_header,
+)
+from tidegate.functions.avro import CONSUMER_GOOD
+
+SCHEMA_ID = 258
+FIELDS = ("item", "retailer", "price", "txn_timestamp")
+
+GOOD_LINE = """item || '|' || retailer || '|' || price || '|' ||
+  strftime(txn_timestamp, '%Y-%m-%d %H:%M:%S')"""
+# One line in fifty is cut short.
+LINES = f"""(SELECT *, CASE WHEN event_id % 50 = 7 THEN item || '|' || retailer
+  ELSE {GOOD_LINE} END AS line FROM {GOODS})"""
+READABLE = "event_id % 50 <> 7"
+
+
+def events(spark, sf_dir):
+    return goods(table(spark, sf_dir, "events"))
+
+
+def good_line():
+    return delimited_line(*[F.col(name) for name in FIELDS])
+
+
+def lines(rows):
+    """Records as delimited text; one in fifty is cut short."""
+    short = F.concat_ws("|", "item", "retailer")
+    line = F.when(F.col("event_id") % 50 == 7, short).otherwise(good_line())
+    return rows.withColumn("value", line)
+
+
+def record():
+    return F.struct(*FIELDS)
+
+
+def plain_time(df):
+    return df.withColumn("txn_timestamp", F.col("txn_timestamp").cast("timestamp_ntz"))
+
+
+@query("delimited_encode", f"SELECT event_id, {GOOD_LINE} AS line FROM {GOODS}")
+def delimited_encode(spark, sf_dir):
+    return events(spark, sf_dir).select("event_id", good_line().alias("line"))
+
+
+@query(
+    "delimited_parse",
+    f"""
+SELECT event_id, line AS value, item, retailer,
+  CASE WHEN {READABLE} THEN price END AS price,
+  CASE WHEN {READABLE} THEN date_trunc('second', txn_timestamp) END AS txn_timestamp,
+  CASE WHEN {READABLE} THEN epoch_ms(date_trunc('second', txn_timestamp)) END AS event_ms
+FROM {LINES}""",
+)
+def delimited_parse(spark, sf_dir):
+    text = lines(events(spark, sf_dir)).select("event_id", "value")
+    return plain_time(parse_delimited(text))
+
+
+@query(
+    "strip_wire_header",
+    f"SELECT event_id, '0000000102' AS header, hex(encode({GOOD_LINE})) AS payload FROM {GOODS}",
+)
+def strip_header(spark, sf_dir):
+    value = add_wire_header(F.encode(good_line(), "UTF-8"), SCHEMA_ID)
+    messages = events(spark, sf_dir).select("event_id", value.alias("value"))
+    return messages.select(
+        "event_id",
+        F.hex(F.substring("value", 1, 5)).alias("header"),
+        F.hex(strip_wire_header(F.col("value"))).alias("payload"),
+    )
+
+
+@query(
+    "utf8_serde_roundtrip",
+    "SELECT doc_id, text, octet_length(encode(text)) AS n_bytes FROM documents",
+)
+def utf8_serde_roundtrip(spark, sf_dir):
+    sent = table(spark, sf_dir, "documents").select(
+        "doc_id", F.encode("text", "UTF-8").alias("body")
+    )
+    return sent.select(
+        "doc_id", F.col("body").cast("string").alias("text"), F.length("body").alias("n_bytes")
+    )
+
+
+# Lengths and times are zigzag numbers; these are never negative, so twice the value.
+# Times are cut, not rounded, to milliseconds; SQL's epoch_ms would round.
+AVRO_HEX = """
+  printf('%02X', 2 * octet_length(encode(item))) || hex(encode(item)) ||
+  printf('%02X', 2 * octet_length(encode(retailer))) || hex(encode(retailer)) ||
+  CASE WHEN cents < 128 THEN '02' || printf('%02X', cents)
+       WHEN cents < 32768 THEN '04' || printf('%04X', cents)
+       WHEN cents < 8388608 THEN '06' || printf('%06X', cents)
+       ELSE '08' || printf('%08X', cents) END ||
+  array_to_string([printf('%02X', ((ticks >> (7 * i)) & 127) +
+      CASE WHEN (ticks >> (7 * (i + 1))) > 0 THEN 128 ELSE 0 END)
+    for i in range(0, 8) if (ticks >> (7 * i)) > 0], '')"""
+
+
+@query(
+    "avro_encode",
+    f"""
+SELECT event_id, {AVRO_HEX} AS body
+FROM (SELECT *, (price * 100)::BIGINT AS cents, epoch_us(txn_timestamp) // 1000 * 2 AS ticks
+      FROM {GOODS})""",
+)
+def avro_encode(spark, sf_dir):
+    body = encode_avro(record(), CONSUMER_GOOD)
+    return events(spark, sf_dir).select("event_id", F.hex(body).alias("body"))
+
+
+DECODED = "item, retailer, price, date_trunc('millisecond', txn_timestamp) AS txn_timestamp"
+
+
+@query("avro_decode", f"SELECT event_id, {DECODED} FROM {GOODS}")
+def avro_decode(spark, sf_dir):
+    encoded = events(spark, sf_dir).select(
+        "event_id", encode_avro(record(), CONSUMER_GOOD).alias("body")
+    )
+    decoded = decode_avro(F.col("body"), CONSUMER_GOOD).alias("good")
+    return plain_time(encoded.select("event_id", decoded).select("event_id", "good.*"))
+
+
+def topic(rows):
+    """Records as the topic's messages: text key, Avro value behind a header."""
+    body = encode_avro(record(), CONSUMER_GOOD)
+    return message_frame(rows, F.col("key"), body, SCHEMA_ID)
+
+
+def decoded_topic(messages):
+    """The topic's messages as records again."""
+    body = strip_wire_header(F.col("value"))
+    parsed = messages.select(
+        F.col("key").cast("string").alias("key"), decode_avro(body, CONSUMER_GOOD).alias("good")
+    )
+    return parsed.select("key", "good.*")
+
+
+@query("avro_roundtrip", f"SELECT key, {DECODED} FROM {GOODS}")
+def avro_roundtrip(spark, sf_dir):
+    return plain_time(decoded_topic(topic(events(spark, sf_dir))))
+
+
+@query(
+    "message_frame",
+    f"""
+SELECT hex(encode(key)) AS key, '0000000102' || {AVRO_HEX} AS value
+FROM (SELECT *, (price * 100)::BIGINT AS cents, epoch_us(txn_timestamp) // 1000 * 2 AS ticks
+      FROM {GOODS})""",
+)
+def message_frames(spark, sf_dir):
+    return topic(events(spark, sf_dir)).select(
+        F.hex("key").alias("key"), F.hex("value").alias("value")
+    )
+
+
+@query("struct_flatten", f"SELECT key, item, retailer, price, txn_timestamp FROM {GOODS}")
+def struct_flatten(spark, sf_dir):
+    nested = events(spark, sf_dir).select("key", record().alias("good"))
+    return plain_time(nested.select("key", "good.*"))

@@ -1,0 +1,79 @@
+"""Whole ingestion jobs; the sinks are read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from catalog.registry import query, table
+from tidegate.operators.validation import NULLS, PRIMARY_KEY
+from tidegate.plans import ingest, ingest_all
+from tidegate.sources import read_file
+from tidegate.workspace import fresh_folder
+
+
+def file_job(sf_dir: str, name: str, target: str, file_type: str = "parquet") -> dict:
+    """The spec of a job that copies one table."""
+    return {
+        "src": {
+            "connector_type": "local_file",
+            "dataset_name": name,
+            "file_type": "parquet",
+            "file_path": f"{sf_dir}/{name}.parquet",
+            "read_props": {"mergeSchema": False},
+        },
+        "target": {
+            "connector_type": "local_file",
+            "file_type": file_type,
+            "file_path": f"{target}/{name}",
+            "write_mode": "overwrite",
+            "write_props": {"compression": "snappy"},
+        },
+    }
+
+
+def both_checks(keys: list[str], required: list[str]) -> dict:
+    return {
+        "req_validations": {
+            PRIMARY_KEY: {"cols_to_check": keys},
+            NULLS: {"cols_to_check": required},
+        }
+    }
+
+
+@query("ingest_dataset", "SELECT * FROM lineitem")
+def ingest_dataset(spark, sf_dir):
+    """The key check fails on this table, and all of it is loaded all the same."""
+    table(spark, sf_dir, "lineitem")
+    target = fresh_folder(spark, "ingest")
+    checks = both_checks(["l_orderkey", "l_linenumber"], ["l_quantity", "l_shipdate"])
+    ingest(spark, file_job(sf_dir, "lineitem", target), checks)
+    return read_file(spark, f"{target}/lineitem")
+
+
+@query(
+    "ingest_all_jobs",
+    """
+SELECT 'orders' AS dataset, o_orderkey AS record_key, o_totalprice AS amount FROM orders
+UNION ALL SELECT 'customer', c_custkey, c_acctbal FROM customer""",
+)
+def ingest_all_jobs(spark, sf_dir):
+    table(spark, sf_dir, "orders")
+    target = fresh_folder(spark, "ingest-all")
+    specs = {
+        "ingest~orders": file_job(sf_dir, "orders", target, "orc"),
+        "ingest~customer": file_job(sf_dir, "customer", target),
+    }
+    checks = {
+        "ingest~orders": both_checks(["o_orderkey"], ["o_custkey", "o_orderdate"]),
+        "ingest~customer": both_checks(["c_custkey"], ["c_name"]),
+    }
+    ingest_all(spark, list(specs), specs, checks)
+    orders = read_file(spark, f"{target}/orders", "orc").select(
+        F.lit("orders").alias("dataset"),
+        F.col("o_orderkey").alias("record_key"),
+        F.col("o_totalprice").alias("amount"),
+    )
+    customers = read_file(spark, f"{target}/customer").select(
+        F.lit("customer"), "c_custkey", "c_acctbal"
+    )
+    return orders.union(customers)

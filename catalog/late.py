@@ -1,0 +1,131 @@
+"""Late-record queries: the batch replay, the stream split, and the keyed buffer."""
+
+from __future__ import annotations
+
+import time
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from catalog.codecs import LINES, READABLE, lines
+from catalog.registry import goods, query, table
+from catalog.streams import NOW, PATIENCE, finish, id_range
+from tidegate.functions import parse_delimited
+from tidegate.operators import flag_late
+from tidegate.streaming import hold_late_records, split_late_stream
+from tidegate.streaming.late_buffer import OUTPUT, ROCKSDB, STATE_STORE
+from tidegate.streaming.late_split import LATE, MALFORMED
+from tidegate.workspace import fresh_folder
+
+CHUNK = 4096
+SLICES = 4
+
+REPLAY = """
+SELECT event_id, coalesce(ts < top - INTERVAL 3001 MILLISECOND, false) AS late FROM (
+  SELECT event_id, ts, max(ts) OVER (PARTITION BY user_id % 3 ORDER BY arrival
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top
+  FROM (SELECT *, event_id + CASE WHEN event_id % 10 = 0 THEN 40 ELSE 0 END AS arrival
+        FROM events))"""
+
+
+def replayed(spark, sf_dir):
+    """Events of three sources; every tenth event arrives forty places late."""
+    held_back = F.when(F.col("event_id") % 10 == 0, 40).otherwise(0)
+    arrivals = table(spark, sf_dir, "events").select(
+        "event_id",
+        "ts",
+        (F.col("user_id") % 3).alias("source"),
+        (F.col("event_id") + held_back).alias("arrival"),
+    )
+    return flag_late(arrivals, "source", "arrival", "ts", chunk=CHUNK)
+
+
+@query("late_records", f"SELECT event_id FROM ({REPLAY}) WHERE late")
+def late_records(spark, sf_dir):
+    return replayed(spark, sf_dir).where("late").select("event_id")
+
+
+@query("on_time_records", f"SELECT event_id FROM ({REPLAY}) WHERE NOT late")
+def on_time_records(spark, sf_dir):
+    return replayed(spark, sf_dir).where("NOT late").select("event_id")
+
+
+# Every tenth event comes one batch after its neighbours.
+BATCHES = f"""
+WITH arrived AS (
+  SELECT event_id, item, line, CASE WHEN {READABLE} THEN date_trunc('second', txn_timestamp) END AS t,
+    ((event_id - low) * {SLICES} // span + CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END)::INTEGER
+      AS batch_id
+  FROM {LINES}, (SELECT min(event_id) AS low, max(event_id) - min(event_id) + 1 AS span FROM events)),
+tops AS (
+  SELECT batch_id, max(max(t)) OVER (ORDER BY batch_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM arrived GROUP BY batch_id),
+routed AS (
+  SELECT event_id, item, line, batch_id, CASE WHEN t IS NULL THEN 'malformed'
+    WHEN t < top - INTERVAL 3001 MILLISECOND THEN 'late' ELSE 'on_time' END AS route
+  FROM arrived JOIN tops USING (batch_id))"""
+ROUTED = "event_id LONG, value STRING, item STRING, batch_id INT, route STRING"
+
+
+def split_replay(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """Land the events batch by batch and split each; gives the folder of the result."""
+    rows = lines(goods(table(spark, sf_dir, "events"))).select("event_id", "value")
+    low, span = id_range(rows)
+    place = F.expr(f"(event_id - {low}) * {SLICES} div {span}")
+    batch = place + F.when(F.col("event_id") % 10 == 0, 1).otherwise(0)
+    for number in range(SLICES + 1):
+        first, end = (low - (-n * span // SLICES) for n in (number - 1, number + 1))
+        near = (F.col("event_id") >= first) & (F.col("event_id") < end)
+        arrived = rows.where(near & (batch == number))
+        arrived.write.mode("append").parquet(f"{folder}/arrived")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/arrived")
+        parsed = parse_delimited(stream)
+        finish(
+            split_late_stream(parsed, f"{folder}/split", f"{folder}/checkpoint", trigger=NOW)
+        )
+    return f"{folder}/split"
+
+
+@query("stream_late_split", f"{BATCHES} SELECT event_id, batch_id, route FROM routed")
+def stream_late_split(spark, sf_dir):
+    split = split_replay(spark, sf_dir, fresh_folder(spark, "late-split"))
+    return spark.read.schema(ROUTED).parquet(split).select("event_id", "batch_id", "route")
+
+
+@query("late_buffer", f"{BATCHES} SELECT item, line AS value FROM routed WHERE route = 'late'")
+def late_buffer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The split stream's late records, as their buffers hand them over on expiry."""
+    folder = fresh_folder(spark, "late-buffer")
+    split = split_replay(spark, sf_dir, folder)
+    expected = spark.read.schema(ROUTED).parquet(split).where(F.col("route") == LATE).count()
+    routed = spark.readStream.schema(ROUTED).parquet(split).where(F.col("route") != MALFORMED)
+    flagged = routed.select("item", "value", (F.col("route") == LATE).alias("late"))
+    expired = hold_late_records(flagged).observe("expired", F.count(F.lit(1)).alias("rows"))
+    writer = expired.writeStream.format("parquet").option("path", f"{folder}/expired")
+    store = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        started = (
+            writer.option("checkpointLocation", f"{folder}/buffer-checkpoint")
+            .trigger(processingTime="1 second")
+            .start()
+        )
+    finally:
+        spark.conf.set(STATE_STORE, store)
+    drain(started, expected)
+    return spark.read.schema(OUTPUT).parquet(f"{folder}/expired")
+
+
+def drain(started, expected: int) -> None:
+    """Stop a stream that has timers, and so never ends, once it gave ``expected`` rows."""
+    out, deadline = {}, time.monotonic() + PATIENCE
+    try:
+        while sum(out.values()) < expected:
+            if started.awaitTermination(1) or time.monotonic() > deadline:
+                raise TimeoutError("The buffers did not expire")
+            for step in started.recentProgress:
+                seen = step.observedMetrics.get("expired")
+                if seen is not None:
+                    out[step.batchId] = seen["rows"]
+    finally:
+        started.stop()

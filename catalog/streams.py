@@ -1,0 +1,126 @@
+"""Windowed aggregates, stream sources and stream sinks."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from catalog.codecs import LINES, READABLE, decoded_topic, lines, plain_time, topic
+from catalog.registry import GOODS, goods, query, table, table_stream
+from tidegate.functions import parse_delimited
+from tidegate.operators import tumbling_aggregate
+from tidegate.streaming import write_text_stream, write_windows_csv
+from tidegate.workspace import fresh_folder
+
+NOW = {"availableNow": True}
+PATIENCE = 4 * 3600
+
+WINDOWS = f"""
+SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start,
+  strftime(w + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS window_end, retailer,
+  count(item) AS item_count, count(DISTINCT item) AS distinct_item_count,
+  min(price) AS min_price_observed, max(price) AS max_price_observed
+FROM (SELECT *, time_bucket(INTERVAL '1 hour', txn_timestamp) AS w FROM {GOODS})
+GROUP BY w, retailer"""
+CLOSED_WINDOWS = f"""{WINDOWS}
+HAVING w + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 5 SECOND"""
+WINDOW_SCHEMA = (
+    "window_end STRING, retailer STRING, item_count LONG, distinct_item_count LONG, "
+    "min_price_observed DECIMAL(10,2), max_price_observed DECIMAL(10,2), window_start STRING"
+)
+
+
+def finish(started: StreamingQuery) -> None:
+    """Wait for a stream that ends by itself; stop it if it does not."""
+    try:
+        if not started.awaitTermination(PATIENCE):
+            raise TimeoutError(f"Stream did not end within {PATIENCE} seconds")
+    finally:
+        started.stop()
+
+
+def land(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Run ``stream`` over what is there now, into Parquet."""
+    writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+    finish(writer.option("path", path).trigger(**NOW).start())
+
+
+def hourly(rows: DataFrame) -> DataFrame:
+    return tumbling_aggregate(rows, window="1 hour", watermark="5 seconds")
+
+
+@query("tumbling_window_agg", WINDOWS)
+def tumbling_window_agg(spark, sf_dir):
+    return hourly(goods(table(spark, sf_dir, "events")))
+
+
+@query("stream_tumbling_agg", CLOSED_WINDOWS)
+def stream_tumbling_agg(spark, sf_dir):
+    """From messages on: decoded, flattened, aggregated; open windows stay in state."""
+    folder = fresh_folder(spark, "windows")
+    decoded = decoded_topic(topic(goods(table_stream(spark, sf_dir, "events"))))
+    windows = hourly(decoded)
+    land(windows, f"{folder}/rows", f"{folder}/checkpoint")
+    return spark.read.schema(windows.schema).parquet(f"{folder}/rows")
+
+
+@query("stream_csv_sink", CLOSED_WINDOWS)
+def stream_csv_sink(spark, sf_dir):
+    folder = fresh_folder(spark, "windows-csv")
+    windows = hourly(goods(table_stream(spark, sf_dir, "events")))
+    finish(write_windows_csv(windows, f"{folder}/rows", f"{folder}/checkpoint", trigger=NOW))
+    return spark.read.schema(WINDOW_SCHEMA).csv(f"{folder}/rows")
+
+
+@query("stream_text_sink", f"SELECT line AS value FROM {LINES}")
+def stream_text_sink(spark, sf_dir):
+    folder = fresh_folder(spark, "text")
+    text = lines(goods(table_stream(spark, sf_dir, "events")))
+    finish(write_text_stream(text, f"{folder}/rows", f"{folder}/checkpoint", NOW))
+    return spark.read.text(f"{folder}/rows")
+
+
+@query(
+    "stream_source_replay",
+    f"""
+SELECT key, item, retailer, CASE WHEN {READABLE} THEN price END AS price,
+  CASE WHEN {READABLE} THEN date_trunc('second', txn_timestamp) END AS txn_timestamp
+FROM {LINES}""",
+)
+def stream_source_replay(spark, sf_dir):
+    """A file stream in the columns of a message source: binary key and value."""
+    folder = fresh_folder(spark, "replay")
+    messages = lines(goods(table_stream(spark, sf_dir, "events"))).select(
+        F.encode("key", "UTF-8").alias("key"), F.encode("value", "UTF-8").alias("value")
+    )
+    text = messages.select(F.col("key").cast("string"), F.col("value").cast("string"))
+    records = parse_delimited(text).select("key", "item", "retailer", "price", "txn_timestamp")
+    land(records, f"{folder}/rows", f"{folder}/checkpoint")
+    return plain_time(spark.read.schema(records.schema).parquet(f"{folder}/rows"))
+
+
+def id_range(events: DataFrame) -> tuple[int, int]:
+    """The lowest event id, and how many ids there are from it to the highest."""
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    return low, high - low + 1
+
+
+@query(
+    "stream_resume_from_checkpoint",
+    """
+SELECT event_id, CASE WHEN (event_id - low) * 2 // span = 0 THEN 1 ELSE 2 END AS run
+FROM events, (SELECT min(event_id) AS low, max(event_id) - min(event_id) + 1 AS span FROM events)""",
+)
+def stream_resume_from_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs on one checkpoint: the second gets only what came in between them."""
+    folder = fresh_folder(spark, "resume")
+    events = table(spark, sf_dir, "events").select("event_id")
+    low, span = id_range(events)
+    half = low + (span + 1) // 2
+    arrivals = [F.col("event_id") < half, F.col("event_id") >= half]
+    for run, arrived in enumerate(arrivals, start=1):
+        events.where(arrived).write.mode("append").parquet(f"{folder}/arrived")
+        stream = spark.readStream.schema(events.schema).parquet(f"{folder}/arrived")
+        land(stream.withColumn("run", F.lit(run)), f"{folder}/rows", f"{folder}/checkpoint")
+    return spark.read.schema("event_id LONG, run INT").parquet(f"{folder}/rows")
