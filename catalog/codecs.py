@@ -15,6 +15,7 @@ from tidegate.functions import (
     strip_wire_header,
 )
 from tidegate.functions.avro import CONSUMER_GOOD
+from tidegate.plans import decode_messages
 
 SCHEMA_ID = 258
 FIELDS = ("item", "retailer", "price", "txn_timestamp")
@@ -92,7 +93,9 @@ def utf8_serde_roundtrip(spark, sf_dir):
         "doc_id", F.encode("text", "UTF-8").alias("body")
     )
     return sent.select(
-        "doc_id", F.col("body").cast("string").alias("text"), F.length("body").alias("n_bytes")
+        "doc_id",
+        F.col("body").cast("string").alias("text"),
+        F.length("body").cast("long").alias("n_bytes"),
     )
 
 
@@ -140,18 +143,9 @@ def topic(rows):
     return message_frame(rows, F.col("key"), body, SCHEMA_ID)
 
 
-def decoded_topic(messages):
-    """The topic's messages as records again."""
-    body = strip_wire_header(F.col("value"))
-    parsed = messages.select(
-        F.col("key").cast("string").alias("key"), decode_avro(body, CONSUMER_GOOD).alias("good")
-    )
-    return parsed.select("key", "good.*")
-
-
 @query("avro_roundtrip", f"SELECT key, {DECODED} FROM {GOODS}")
 def avro_roundtrip(spark, sf_dir):
-    return plain_time(decoded_topic(topic(events(spark, sf_dir))))
+    return plain_time(decode_messages(topic(events(spark, sf_dir)), CONSUMER_GOOD))
 
 
 @query(

@@ -33,14 +33,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_file(spark, f"{sf_dir}/{name}.parquet")
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table_stream(spark: SparkSession, sf_dir: str, name: str, **options: str) -> DataFrame:
     """The same table as a stream over its files.
 
     A stream's path must be a folder or a pattern; the pattern used here matches the
     table's own name only, whether that is one file or a folder of them.
     """
     schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name[:-1]}[{name[-1]}].parquet")
+    reader = spark.readStream.schema(schema).options(**options)
+    return reader.parquet(f"{sf_dir}/{name[:-1]}[{name[-1]}].parquet")
 
 
 def goods(events: DataFrame) -> DataFrame:

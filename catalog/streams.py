@@ -6,15 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from catalog.codecs import LINES, READABLE, decoded_topic, lines, plain_time, topic
+from catalog.codecs import LINES, READABLE, lines, plain_time, topic
 from catalog.registry import GOODS, goods, query, table, table_stream
 from tidegate.functions import parse_delimited
+from tidegate.functions.avro import CONSUMER_GOOD
 from tidegate.operators import tumbling_aggregate
-from tidegate.streaming import write_text_stream, write_windows_csv
+from tidegate.plans import windows_to_csv
+from tidegate.streaming import write_text_stream
 from tidegate.workspace import fresh_folder
 
 NOW = {"availableNow": True}
 PATIENCE = 4 * 3600
+# Row by row streams may take their input in parts, so a failure repeats one part only.
+PARTS = {"maxBytesPerTrigger": str(1 << 40)}
 
 WINDOWS = f"""
 SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start,
@@ -57,26 +61,35 @@ def tumbling_window_agg(spark, sf_dir):
 
 @query("stream_tumbling_agg", CLOSED_WINDOWS)
 def stream_tumbling_agg(spark, sf_dir):
-    """From messages on: decoded, flattened, aggregated; open windows stay in state."""
+    """Open windows stay in state; the closed ones come out once."""
     folder = fresh_folder(spark, "windows")
-    decoded = decoded_topic(topic(goods(table_stream(spark, sf_dir, "events"))))
-    windows = hourly(decoded)
+    windows = hourly(goods(table_stream(spark, sf_dir, "events")))
     land(windows, f"{folder}/rows", f"{folder}/checkpoint")
     return spark.read.schema(windows.schema).parquet(f"{folder}/rows")
 
 
 @query("stream_csv_sink", CLOSED_WINDOWS)
 def stream_csv_sink(spark, sf_dir):
+    """The whole job: Avro messages behind a header, to CSV in folders by window."""
     folder = fresh_folder(spark, "windows-csv")
-    windows = hourly(goods(table_stream(spark, sf_dir, "events")))
-    finish(write_windows_csv(windows, f"{folder}/rows", f"{folder}/checkpoint", trigger=NOW))
+    messages = topic(goods(table_stream(spark, sf_dir, "events")))
+    finish(
+        windows_to_csv(
+            messages,
+            CONSUMER_GOOD,
+            f"{folder}/rows",
+            f"{folder}/checkpoint",
+            window="1 hour",
+            trigger=NOW,
+        )
+    )
     return spark.read.schema(WINDOW_SCHEMA).csv(f"{folder}/rows")
 
 
 @query("stream_text_sink", f"SELECT line AS value FROM {LINES}")
 def stream_text_sink(spark, sf_dir):
     folder = fresh_folder(spark, "text")
-    text = lines(goods(table_stream(spark, sf_dir, "events")))
+    text = lines(goods(table_stream(spark, sf_dir, "events", **PARTS)))
     finish(write_text_stream(text, f"{folder}/rows", f"{folder}/checkpoint", NOW))
     return spark.read.text(f"{folder}/rows")
 
@@ -91,7 +104,7 @@ FROM {LINES}""",
 def stream_source_replay(spark, sf_dir):
     """A file stream in the columns of a message source: binary key and value."""
     folder = fresh_folder(spark, "replay")
-    messages = lines(goods(table_stream(spark, sf_dir, "events"))).select(
+    messages = lines(goods(table_stream(spark, sf_dir, "events", **PARTS))).select(
         F.encode("key", "UTF-8").alias("key"), F.encode("value", "UTF-8").alias("value")
     )
     text = messages.select(F.col("key").cast("string"), F.col("value").cast("string"))

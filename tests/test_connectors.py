@@ -1,0 +1,164 @@
+"""Connector specs and options, without and with data behind them."""
+
+from uuid import uuid4
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidegate.errors import ConnectorError
+from tidegate.plans import connector
+from tidegate.sinks import write_file, write_table
+from tidegate.sinks.topics import topic_sink_options
+from tidegate.sources import preview, read_file, read_table
+from tidegate.sources.jdbc import table_options
+from tidegate.sources.topics import topic_options
+
+PARQUET = {"connector_type": "local_file", "file_type": "parquet", "file_path": "data/d1"}
+TABLE = {
+    "connector_type": "postgres",
+    "conn_id": "DEFAULT",
+    "schema": "dev",
+    "db_table": "dev.dataset1",
+}
+TABLE_ARGUMENTS = {"db_conf_conn_id": "DEFAULT", "schema": "dev", "db_table": "dev.dataset1"}
+BATCHES = {"numPartitions": 10, "batchSize": 10000}
+
+
+@pytest.mark.parametrize(
+    ("direction", "raw", "arguments"),
+    [
+        (
+            "source",
+            {**PARQUET, "dataset_name": "dataset1", "read_props": {"mergeSchema": False}},
+            {"file_path": "data/d1", "file_type": "parquet", "read_props": {"mergeSchema": False}},
+        ),
+        (
+            "sink",
+            {**PARQUET, "write_mode": "overwrite", "write_props": {"compression": "snappy"}},
+            {
+                "file_path": "data/d1",
+                "file_type": "parquet",
+                "write_mode": "overwrite",
+                "write_props": {"compression": "snappy"},
+            },
+        ),
+        (
+            "source",
+            {**TABLE, "read_props": {"numPartitions": 10}},
+            {**TABLE_ARGUMENTS, "read_props": {"numPartitions": 10}},
+        ),
+        (
+            "sink",
+            {**TABLE, "write_mode": "overwrite", "write_props": BATCHES},
+            {**TABLE_ARGUMENTS, "write_mode": "overwrite", "write_props": BATCHES},
+        ),
+    ],
+)
+def test_spec_comes_down_to_arguments(direction, raw, arguments):
+    checked = connector(direction, raw)
+    assert checked.connector_type == raw["connector_type"]
+    assert checked.arguments == arguments
+
+
+@pytest.mark.parametrize(
+    ("direction", "raw"),
+    [
+        ("sideways", {**PARQUET, "read_props": {}}),
+        ("source", {"file_path": "x"}),
+        ("source", {"connector_type": "ftp"}),
+        ("source", PARQUET),
+        ("sink", {**TABLE, "write_mode": "append"}),
+    ],
+)
+def test_bad_spec_is_refused(direction, raw):
+    with pytest.raises(ValueError):
+        connector(direction, raw)
+
+
+def test_connector_keeps_to_its_direction(spark):
+    source = connector("source", {**PARQUET, "read_props": {}})
+    with pytest.raises(ValueError):
+        source.write(spark.range(1))
+    sink = connector("sink", {**PARQUET, "write_mode": "append", "write_props": {}})
+    with pytest.raises(ValueError):
+        sink.read(spark)
+
+
+def test_unknown_connection_is_an_error(spark):
+    with pytest.raises(KeyError):
+        connector("source", {**TABLE, "read_props": {}}).read(spark, {"OTHER": {}})
+
+
+def test_unknown_file_type_is_refused(spark, tmp_path):
+    with pytest.raises(ValueError):
+        read_file(spark, tmp_path, "xml")
+    with pytest.raises(ValueError):
+        write_file(spark.range(1), tmp_path / "x", "xml")
+
+
+def test_failures_name_the_path(spark, tmp_path):
+    with pytest.raises(ConnectorError, match="nowhere"):
+        read_file(spark, tmp_path / "nowhere")
+    write_file(spark.range(1), tmp_path / "taken")
+    with pytest.raises(ConnectorError, match="taken"):
+        write_file(spark.range(1), tmp_path / "taken", write_mode="error")
+
+
+def test_later_database_options_win():
+    connection = {"url": "jdbc:x", "user": "a", "batchsize": 1}
+    options = table_options(connection, "dev", "t", {"batchSize": 5, "user": "b"})
+    assert options == {"url": "jdbc:x", "user": "b", "batchsize": 5, "dbtable": "dev.t"}
+    assert table_options({}, "dev", "prod.t")["dbtable"] == "prod.t"
+
+
+def test_table_is_read_in_ranges(spark):
+    connection = {
+        "url": f"jdbc:derby:memory:t{uuid4().hex};create=true",
+        "driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver",
+    }
+    rows = spark.range(100).select("id", F.when(F.col("id") % 3 > 0, F.col("id")).alias("part"))
+    write_table(rows, connection, None, "numbers", write_props={"numPartitions": 2})
+    ranges = {"partitionColumn": "part", "numPartitions": 4}
+    stored = read_table(spark, connection, None, "numbers", ranges)
+    assert stored.rdd.getNumPartitions() == 4
+    assert sorted(row.id for row in stored.collect()) == list(range(100))
+    write_table(rows, connection, None, "numbers")
+    assert read_table(spark, connection, None, "numbers").count() == 200
+    write_table(rows.where("part IS NULL"), connection, None, "numbers", "overwrite")
+    unbounded = read_table(spark, connection, None, "numbers", ranges)
+    assert unbounded.count() == 34
+    with pytest.raises(ValueError):
+        read_table(spark, connection, None, "numbers", {"partitionColumn": "part"})
+
+
+def test_topic_options():
+    assert topic_options("a:1,b:2", "t") == {
+        "kafka.bootstrap.servers": "a:1,b:2",
+        "subscribe": "t",
+    }
+    options = topic_options(
+        "a:1",
+        "t",
+        starting_offsets="latest",
+        group_id="g",
+        committed_only=True,
+        props={"maxOffsetsPerTrigger": 10},
+    )
+    assert options == {
+        "kafka.bootstrap.servers": "a:1",
+        "subscribe": "t",
+        "startingOffsets": "latest",
+        "kafka.group.id": "g",
+        "kafka.isolation.level": "read_committed",
+        "maxOffsetsPerTrigger": 10,
+    }
+    assert topic_sink_options("a:1", "t", {"kafka.acks": "all"}) == {
+        "kafka.bootstrap.servers": "a:1",
+        "topic": "t",
+        "kafka.acks": "all",
+    }
+
+
+def test_preview_keeps_the_first_rows(spark):
+    assert [row.id for row in preview(spark.range(100), 3, ["id"]).collect()] == [0, 1, 2]
+    assert preview(spark.range(100)).count() == 10

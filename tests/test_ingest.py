@@ -1,0 +1,78 @@
+"""Ingestion jobs on small files."""
+
+import pytest
+
+from catalog.jobs import both_checks, file_job
+from tidegate.errors import IngestError
+from tidegate.operators.validation import NULLS, PRIMARY_KEY
+from tidegate.plans import ingest, ingest_all
+from tidegate.workspace import fresh_folder
+
+SCHEMA = "product_id INT, item STRING, quantity INT"
+ROWS = [(1, "a", 1), (1, "b", 2), (2, None, 3)]
+
+
+@pytest.fixture
+def job(spark, tmp_path):
+    spark.createDataFrame(ROWS, SCHEMA).write.parquet(f"{tmp_path}/dataset1.parquet")
+    return file_job(str(tmp_path), "dataset1", f"{tmp_path}/out")
+
+
+def loaded(spark, tmp_path):
+    return spark.read.parquet(f"{tmp_path}/out/dataset1").count()
+
+
+def test_failed_checks_do_not_stop_the_load(spark, tmp_path, job, caplog):
+    result = ingest(spark, job, both_checks(["product_id"], ["item", "quantity"]))
+    assert result.dataset == "dataset1"
+    assert result.passed == {PRIMARY_KEY: False, NULLS: False}
+    assert "null_validation of dataset1: failed" in caplog.text
+    assert result.suite.results[PRIMARY_KEY].record_level.count() == 1
+    assert loaded(spark, tmp_path) == 3
+
+
+def test_only_listed_checks_are_looked_up(spark, tmp_path, job):
+    keys = {"req_validations": {PRIMARY_KEY: {"cols_to_check": ["product_id"]}}}
+    assert ingest(spark, job, keys).passed == {PRIMARY_KEY: False}
+    nulls = {
+        "primary_key_cols": ["product_id"],
+        "req_validations": {NULLS: {"cols_to_check": ["quantity"]}},
+    }
+    assert ingest(spark, job, nulls).passed == {NULLS: True}
+
+
+def test_validation_can_be_left_out(spark, tmp_path, job):
+    result = ingest(spark, job, phases=["extraction", "load"])
+    assert result.suite is None
+    assert loaded(spark, tmp_path) == 3
+
+
+@pytest.mark.parametrize("phases", [[], ["extraction"], ["validation", "load"]])
+def test_needed_phases(spark, job, phases):
+    with pytest.raises(ValueError):
+        ingest(spark, job, phases=phases)
+
+
+def test_validation_needs_its_config(spark, job):
+    with pytest.raises(ValueError):
+        ingest(spark, job)
+
+
+def test_jobs_do_not_stop_each_other(spark, tmp_path, job):
+    checks = {"good": both_checks(["product_id"], ["item"])}
+    lost = file_job(str(tmp_path), "nowhere", f"{tmp_path}/out")
+    with pytest.raises(IngestError) as error:
+        ingest_all(spark, ["lost", "good"], {"lost": lost, "good": job}, checks)
+    assert error.value.failed == ["lost"]
+    assert error.value.outcomes["good"].passed == {PRIMARY_KEY: False, NULLS: False}
+    assert loaded(spark, tmp_path) == 3
+    with pytest.raises(KeyError):
+        ingest_all(spark, ["unknown"], {}, {})
+
+
+def test_folders_are_fresh_and_under_the_shared_one(spark, monkeypatch, tmp_path):
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    first, second = fresh_folder(spark, "x"), fresh_folder(spark, "x")
+    assert first != second
+    if shared:
+        assert first.startswith(shared)

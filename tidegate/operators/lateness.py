@@ -32,35 +32,30 @@ def flag_late(
 
     Offsets must be unique within a source. The running maximum is not taken over a
     whole source, which may hold most of the rows: offsets are cut into ranges of
-    ``chunk``, each range is one group of at most that many rows, and it starts
-    from the maximum of the ranges before it. Those carried maxima are one row per
-    range, so only they are ordered across a source.
+    ``chunk``, and each range is one group of at most that many rows. A range is led
+    by one seed row with the maximum of the ranges before it; seeds are one row per
+    range, so only they are ordered across a source. The records are shuffled once.
     """
-    part = F.floor(F.col(offset_col) / F.lit(chunk)).alias("__part")
+    part = F.expr(f"`{offset_col}` DIV {chunk}").alias("__part")
     earlier_parts = (
         Window.partitionBy(source_col).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     )
-    carried = (
+    seeds = (
         df.groupBy(source_col, part)
         .agg(F.max(time_col).alias("__top"))
-        .select(
-            F.col(source_col).alias("__source"),
-            F.col("__part").alias("__range"),
-            F.max("__top").over(earlier_parts).alias("__carried"),
-        )
+        .select(source_col, "__part", F.max("__top").over(earlier_parts).alias(time_col))
+    )
+    replayed = df.select("*", part, F.lit(True).alias("__record")).unionByName(
+        seeds.withColumn("__record", F.lit(False)), allowMissingColumns=True
     )
     earlier_rows = (
         Window.partitionBy(source_col, "__part")
-        .orderBy(offset_col)
+        .orderBy("__record", offset_col)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    replayed = df.select("*", part).withColumn("__seen", F.max(time_col).over(earlier_rows))
-    same_range = F.col(source_col).eqNullSafe(F.col("__source")) & (
-        F.col("__part") == F.col("__range")
-    )
-    highest = F.greatest("__seen", "__carried")
     return (
-        replayed.join(carried, same_range)
-        .withColumn("late", is_late(F.col(time_col), highest, bound_ms))
+        replayed.withColumn("__highest", F.max(time_col).over(earlier_rows))
+        .where("__record")
+        .withColumn("late", is_late(F.col(time_col), F.col("__highest"), bound_ms))
         .select(*df.columns, "late")
     )

@@ -1,4 +1,12 @@
 from tidegate.plans.connectors import connector
 from tidegate.plans.ingest import ingest, ingest_all
+from tidegate.plans.streams import decode_messages, on_time_to_text, windows_to_csv
 
-__all__ = ["connector", "ingest", "ingest_all"]
+__all__ = [
+    "connector",
+    "decode_messages",
+    "ingest",
+    "ingest_all",
+    "on_time_to_text",
+    "windows_to_csv",
+]

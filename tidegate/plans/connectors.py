@@ -17,6 +17,8 @@ PLACE_KEYS = {
 }
 DIRECTION_KEYS = {"source": ("read_props",), "sink": ("write_mode", "write_props")}
 RENAMED = {"conn_id": "db_conf_conn_id"}
+# Not needed, but it spares a file source the pass that infers column types.
+OPTIONAL_KEYS = {("local_file", "source"): ("schema",)}
 
 
 @dataclass(frozen=True)
@@ -64,4 +66,5 @@ def connector(direction: str, raw: Mapping[str, object]) -> Connector:
     missing = [key for key in keys if key not in raw]
     if missing:
         raise ValueError(f"Missing in the {kind} {direction} config: {', '.join(missing)}")
+    keys += tuple(key for key in OPTIONAL_KEYS.get((kind, direction), ()) if key in raw)
     return Connector(kind, direction, {RENAMED.get(key, key): raw[key] for key in keys})

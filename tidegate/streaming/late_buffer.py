@@ -11,6 +11,8 @@ import sys
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -93,6 +95,17 @@ class LateBuffer(StatefulProcessor):
         pass
 
 
+def mark_on_time(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All late rows, and one row for each buffer that on-time rows belong to."""
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        late = rows["late"]
+        marks = rows.filter(pc.invert(late)).group_by(["item", "slot"]).aggregate([])
+        marks = marks.append_column("late", pa.array([False] * len(marks), pa.bool_()))
+        marks = marks.append_column("value", pa.nulls(len(marks), rows["value"].type))
+        yield from pa.concat_tables([rows.filter(late), marks.select(rows.column_names)]).to_batches()
+
+
 def hold_late_records(
     flagged: DataFrame,
     item_col: str = "item",
@@ -106,9 +119,9 @@ def hold_late_records(
 
     The rows of an item are spread over ``slots`` buffers by a hash of their text,
     as one item may hold a large part of the stream. Every buffer follows the
-    expiry rule on its own rows; ``slots=1`` gives one buffer per item. On-time
-    rows travel without their text, as only their arrival matters. An expired row
-    cannot come out before its batch is done, so output lags by a trigger.
+    expiry rule on its own rows; ``slots=1`` gives one buffer per item. Of on-time
+    rows only the arrival matters, so before the shuffle those of an Arrow batch
+    shrink to one mark per buffer.
     """
     text = F.col(value_col)
     placed = flagged.select(
@@ -117,7 +130,8 @@ def hold_late_records(
         F.col(late_col).alias("late"),
         F.when(F.col(late_col), text).alias("value"),
     )
-    return placed.groupBy("item", "slot").transformWithStateInPandas(
+    marked = placed.mapInArrow(mark_on_time, placed.schema)
+    return marked.groupBy("item", "slot").transformWithStateInPandas(
         statefulProcessor=LateBuffer(fast_ms, regular_ms),
         outputStructType=OUTPUT,
         outputMode="append",

@@ -28,19 +28,24 @@ def split_late_stream(
     time_col: str = "txn_timestamp",
     bound_ms: int = 3000,
     file_type: str = "parquet",
+    columns: list[str] | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Write every row under ``path/batch_id=<n>/route=<on_time|late|malformed>``.
 
+    ``columns`` are the ones to write, all by default; text files take one.
+
     Each batch overwrites its own folder and the watermark it starts from is kept
     under the checkpoint, so a batch that is run again after a failure splits the
     same way and leaves no double rows. A row without event time is malformed.
     """
     spark = rows.sparkSession
     state = f"{checkpoint.rstrip('/')}/event-time"
+    last: dict[int, int | None] = {}  # this run's newest batch; only a restart reads the file
 
     def split(batch: DataFrame, batch_id: int) -> None:
-        top = top_before(spark, state, batch_id)
+        before = batch_id - 1
+        top = last[before] if before in last else top_before(spark, state, batch_id)
         highest = F.timestamp_micros(F.lit(top).cast("long"))
         route = (
             F.when(F.col(time_col).isNull(), MALFORMED)
@@ -51,10 +56,15 @@ def split_late_stream(
         routed = batch.withColumn("route", route).observe(
             seen, F.max(F.unix_micros(time_col)).alias("top")
         )
+        if columns is not None:
+            routed = routed.select(*columns, "route")
         writer = routed.write.mode("overwrite").partitionBy("route").format(file_type)
         writer.save(f"{path.rstrip('/')}/batch_id={batch_id}")
         tops = [micros for micros in (top, seen.get["top"]) if micros is not None]
-        keep_top(spark, state, batch_id, max(tops, default=None))
+        top = max(tops, default=None)
+        keep_top(spark, state, batch_id, top)
+        last.clear()
+        last[batch_id] = top
 
     writer = rows.writeStream.foreachBatch(split).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or TRIGGER)).start()
@@ -75,8 +85,10 @@ def keep_top(spark: SparkSession, state: str, batch_id: int, top_micros: int | N
 
     Two slots take turns: the slot a batch starts from is not touched by that batch.
     """
-    kept = spark.createDataFrame([(batch_id, top_micros)], STATE)
-    kept.coalesce(1).write.mode("overwrite").json(_slot(state, batch_id))
+    kept = spark.range(0, 1, 1, 1).select(
+        F.lit(batch_id).alias("batch_id"), F.lit(top_micros).cast("long").alias("top_micros")
+    )
+    kept.write.mode("overwrite").json(_slot(state, batch_id))
 
 
 def _slot(state: str, batch_id: int) -> str:
