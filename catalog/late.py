@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from catalog.codecs import LINES, READABLE, lines
 from catalog.registry import goods, query, table
-from catalog.streams import NOW, PATIENCE, finish, id_range
+from catalog.streams import NOW, PARTS, PATIENCE, finish, id_range
 from tidegate.functions import parse_delimited
 from tidegate.operators import flag_late
-from tidegate.streaming import hold_late_records, split_late_stream
-from tidegate.streaming.late_buffer import OUTPUT, ROCKSDB, STATE_STORE
+from tidegate.streaming import hold_late_records, rocksdb_state, split_late_stream
+from tidegate.streaming.late_buffer import OUTPUT
 from tidegate.streaming.late_split import LATE, MALFORMED
 from tidegate.workspace import fresh_folder
 
@@ -53,7 +53,7 @@ def on_time_records(spark, sf_dir):
 # Every tenth event comes one batch after its neighbours.
 BATCHES = f"""
 WITH arrived AS (
-  SELECT event_id, item, line, CASE WHEN {READABLE} THEN date_trunc('second', txn_timestamp) END AS t,
+  SELECT event_id, item, retailer, line, CASE WHEN {READABLE} THEN date_trunc('second', txn_timestamp) END AS t,
     ((event_id - low) * {SLICES} // span + CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END)::INTEGER
       AS batch_id
   FROM {LINES}, (SELECT min(event_id) AS low, max(event_id) - min(event_id) + 1 AS span FROM events)),
@@ -67,7 +67,7 @@ routed AS (
 ROUTED = "event_id LONG, value STRING, item STRING, batch_id INT, route STRING"
 
 
-def split_replay(spark: SparkSession, sf_dir: str, folder: str) -> str:
+def split_replay(spark: SparkSession, sf_dir: str, folder: str, **settings) -> str:
     """Land the events batch by batch and split each; gives the folder of the result."""
     rows = lines(goods(table(spark, sf_dir, "events"))).select("event_id", "value")
     low, span = id_range(rows)
@@ -81,7 +81,9 @@ def split_replay(spark: SparkSession, sf_dir: str, folder: str) -> str:
         stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/arrived")
         parsed = parse_delimited(stream)
         finish(
-            split_late_stream(parsed, f"{folder}/split", f"{folder}/checkpoint", trigger=NOW)
+            split_late_stream(
+                parsed, f"{folder}/split", f"{folder}/checkpoint", trigger=NOW, **settings
+            )
         )
     return f"{folder}/split"
 
@@ -92,26 +94,45 @@ def stream_late_split(spark, sf_dir):
     return spark.read.schema(ROUTED).parquet(split).select("event_id", "batch_id", "route")
 
 
+@query(
+    "stream_late_split_by_source",
+    f"""
+{BATCHES},
+steps AS (SELECT DISTINCT batch_id FROM arrived),
+starts AS (SELECT retailer, min(batch_id) AS first_batch FROM arrived GROUP BY retailer),
+reached AS (
+  SELECT s.batch_id, r.retailer, max(max(a.t)) OVER (PARTITION BY r.retailer ORDER BY s.batch_id) AS top
+  FROM steps s JOIN starts r ON s.batch_id >= r.first_batch
+  LEFT JOIN arrived a ON a.batch_id = s.batch_id AND a.retailer = r.retailer
+  GROUP BY s.batch_id, r.retailer),
+slowest AS (SELECT batch_id, min(top) AS top FROM reached GROUP BY batch_id),
+floors AS (SELECT batch_id, max(top) OVER (ORDER BY batch_id
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM slowest)
+SELECT event_id, batch_id, CASE WHEN t IS NULL THEN 'malformed'
+  WHEN t < floors.top - INTERVAL 3001 MILLISECOND THEN 'late' ELSE 'on_time' END AS route
+FROM arrived JOIN floors USING (batch_id)""",
+)
+def stream_late_split_by_source(spark, sf_dir):
+    """The watermark waits for the slowest of the sources, here the retailers."""
+    folder = fresh_folder(spark, "late-split-source")
+    split = split_replay(spark, sf_dir, folder, source_col="retailer", idle_ms=None)
+    return spark.read.schema(ROUTED).parquet(split).select("event_id", "batch_id", "route")
+
+
 @query("late_buffer", f"{BATCHES} SELECT item, line AS value FROM routed WHERE route = 'late'")
 def late_buffer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The split stream's late records, as their buffers hand them over on expiry."""
     folder = fresh_folder(spark, "late-buffer")
     split = split_replay(spark, sf_dir, folder)
     expected = spark.read.schema(ROUTED).parquet(split).where(F.col("route") == LATE).count()
-    routed = spark.readStream.schema(ROUTED).parquet(split).where(F.col("route") != MALFORMED)
+    stream = spark.readStream.schema(ROUTED).options(**PARTS).parquet(split)
+    routed = stream.where(F.col("route") != MALFORMED)
     flagged = routed.select("item", "value", (F.col("route") == LATE).alias("late"))
     expired = hold_late_records(flagged).observe("expired", F.count(F.lit(1)).alias("rows"))
     writer = expired.writeStream.format("parquet").option("path", f"{folder}/expired")
-    store = spark.conf.get(STATE_STORE)
-    spark.conf.set(STATE_STORE, ROCKSDB)
-    try:
-        started = (
-            writer.option("checkpointLocation", f"{folder}/buffer-checkpoint")
-            .trigger(processingTime="1 second")
-            .start()
-        )
-    finally:
-        spark.conf.set(STATE_STORE, store)
+    writer = writer.option("checkpointLocation", f"{folder}/buffer-checkpoint")
+    with rocksdb_state(spark):
+        started = writer.trigger(processingTime="1 second").start()
     drain(started, expected)
     return spark.read.schema(OUTPUT).parquet(f"{folder}/expired")
 

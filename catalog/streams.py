@@ -18,7 +18,7 @@ from tidegate.workspace import fresh_folder
 NOW = {"availableNow": True}
 PATIENCE = 4 * 3600
 # Row by row streams may take their input in parts, so a failure repeats one part only.
-PARTS = {"maxBytesPerTrigger": str(1 << 40)}
+PARTS = {"maxBytesPerTrigger": str(1 << 38)}
 
 WINDOWS = f"""
 SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start,

@@ -12,11 +12,12 @@ from tidegate.plans import on_time_to_text
 from tidegate.streaming import (
     hold_late_records,
     late_split,
+    rocksdb_state,
     split_late_stream,
     write_text_stream,
     write_windows_csv,
 )
-from tidegate.streaming.late_buffer import OUTPUT, ROCKSDB, STATE_STORE, next_expiry
+from tidegate.streaming.late_buffer import OUTPUT, ROCKSDB_STATE, next_expiry
 
 NOW = {"availableNow": True}
 START = dt.datetime(2024, 1, 1)
@@ -81,7 +82,7 @@ def test_late_split_over_restarts(spark, tmp_path):
 
 @pytest.mark.parametrize("when", ["before", "after"])
 def test_late_split_repeats_a_failed_batch_alike(spark, tmp_path, monkeypatch, when):
-    keep = late_split.keep_top
+    keep = late_split.keep_reached
 
     def failing(*arguments):
         if when == "after":
@@ -91,10 +92,10 @@ def test_late_split_repeats_a_failed_batch_alike(spark, tmp_path, monkeypatch, w
     for number, batch in enumerate(BATCHES):
         arrive(spark, tmp_path / "in", batch)
         if number in (0, 1, 3):
-            monkeypatch.setattr(late_split, "keep_top", failing)
+            monkeypatch.setattr(late_split, "keep_reached", failing)
             with pytest.raises(Exception, match="lost"):
                 split(spark, tmp_path)
-            monkeypatch.setattr(late_split, "keep_top", keep)
+            monkeypatch.setattr(late_split, "keep_reached", keep)
         split(spark, tmp_path)
     assert routed(spark, tmp_path) == ROUTES
 
@@ -137,10 +138,33 @@ def test_late_split_of_empty_batches(spark, tmp_path):
 
 
 def test_missing_event_time_state_is_an_error(spark, tmp_path):
-    late_split.keep_top(spark, f"{tmp_path}/state", 4, 5)
-    assert late_split.top_before(spark, f"{tmp_path}/state", 5) == 5
+    late_split.keep_reached(spark, f"{tmp_path}/state", 4, 5)
+    assert late_split.reached_before(spark, f"{tmp_path}/state", 5) == 5
     with pytest.raises(RuntimeError):
-        late_split.top_before(spark, f"{tmp_path}/state", 7)
+        late_split.reached_before(spark, f"{tmp_path}/state", 7)
+
+
+def test_slowest_source_holds_the_watermark_until_idle(spark, tmp_path, monkeypatch):
+    """Sources are named by the item; the bound is three seconds."""
+    clock = iter([0, 1, 7, 8])
+    monkeypatch.setattr(late_split.time, "time", lambda: next(clock))
+    batches = [
+        [line(100, "a"), line(50, "b")],  # reached: 50, the slower source
+        [line(110, "a"), line(48, "b"), line(46, "b")],  # only 46 is late; reached: still 50
+        [line(120, "a"), line(47, "a")],  # 47 is in time; b idles by now, so reached: 120
+        [line(116, "b"), line(115, "b"), line(117, "a")],  # late: 115 and 116
+    ]
+    for batch in batches:
+        arrive(spark, tmp_path / "in", batch)
+        parsed = parse_delimited(spark.readStream.text(f"{tmp_path}/in"))
+        finish(
+            split_late_stream(
+                parsed, f"{tmp_path}/out", f"{tmp_path}/check", source_col="item", trigger=NOW
+            )
+        )
+    late = [row[2] for row in routed(spark, tmp_path) if row[1] == "late"]
+    assert late == [line(46, "b"), line(115, "b"), line(116, "b")]
+    assert len(routed(spark, tmp_path)) == 10
 
 
 def run_windows(spark, path, **settings):
@@ -207,17 +231,15 @@ def test_buffer_gives_back_every_late_record(spark, tmp_path):
     stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
     held = hold_late_records(stream, slots=4, fast_ms=1000, regular_ms=2000)
     held = held.observe("expired", F.count(F.lit(1)).alias("rows"))
-    store = spark.conf.get(STATE_STORE)
-    spark.conf.set(STATE_STORE, ROCKSDB)
-    try:
+    before = {name: spark.conf.get(name, None) for name in ROCKSDB_STATE}
+    with rocksdb_state(spark):
         query = (
             held.writeStream.format("parquet")
             .options(path=f"{tmp_path}/out", checkpointLocation=f"{tmp_path}/check")
             .trigger(processingTime="500 milliseconds")
             .start()
         )
-    finally:
-        spark.conf.set(STATE_STORE, store)
+    assert {name: spark.conf.get(name, None) for name in ROCKSDB_STATE} == before
     drain(query, 300)
     got = spark.read.schema(OUTPUT).parquet(f"{tmp_path}/out").collect()
     assert sorted((r.item, r.value) for r in got) == sorted((i, v) for i, v, late in rows if late)

@@ -145,10 +145,10 @@ def _dataset_level(kind: str, run_ts: Column | None) -> Column:
 def _check_arguments(kinds, keys, required) -> None:
     for kind in kinds:
         if kind not in (PRIMARY_KEY, NULLS):
-            raise ValueError(f"Unknown validation type: {kind}")
+            raise ValueError(f"No check is called {kind!r}")
     if not kinds:
         raise ValueError("No validation asked for")
     if not keys:
-        raise ValueError("Primary key columns cannot be empty: both checks report by key")
+        raise ValueError("Name the key columns: both checks report by key")
     if NULLS in kinds and not required:
-        raise ValueError("Non-nullable columns cannot be empty for null validation")
+        raise ValueError("Name the columns in which the null check looks for nulls")

@@ -49,22 +49,22 @@ class Connector:
     def _database(self, connections: Mapping[str, Mapping] | None) -> tuple:
         name, *others = self.arguments.values()
         if name not in (connections or {}):
-            raise KeyError(f'Connection "{name}" is not among the given connections')
+            raise KeyError(f"No connection is called {name!r}")
         return connections[name], *others
 
 
 def connector(direction: str, raw: Mapping[str, object]) -> Connector:
     """Check one spec section and keep the settings its connector takes."""
     if direction not in DIRECTION_KEYS:
-        raise ValueError('Direction can only be one of "source" or "sink"')
+        raise ValueError(f"A connector is a source or a sink, not {direction!r}")
     if "connector_type" not in raw:
-        raise ValueError("Connector type not found in config")
+        raise ValueError("The spec names no connector_type")
     kind = raw["connector_type"]
     if kind not in PLACE_KEYS:
-        raise ValueError(f"Unrecognised connector type in config: {kind}")
+        raise ValueError(f"No connector is called {kind!r}; there are {tuple(PLACE_KEYS)}")
     keys = PLACE_KEYS[kind] + DIRECTION_KEYS[direction]
     missing = [key for key in keys if key not in raw]
     if missing:
-        raise ValueError(f"Missing in the {kind} {direction} config: {', '.join(missing)}")
+        raise ValueError(f"The {kind} {direction} spec lacks {', '.join(missing)}")
     keys += tuple(key for key in OPTIONAL_KEYS.get((kind, direction), ()) if key in raw)
     return Connector(kind, direction, {RENAMED.get(key, key): raw[key] for key in keys})

@@ -44,7 +44,7 @@ def ingest(
     never brought to the driver.
     """
     if "extraction" not in phases or "load" not in phases:
-        raise ValueError('Data pipeline phases must contain "extraction" and "load"')
+        raise ValueError("A job without extraction or load moves nothing: list both phases")
     source, sink = connector("source", spec["src"]), connector("sink", spec["target"])
     dataset = spec["src"].get("dataset_name")
     df = source.read(spark, connections)

@@ -26,9 +26,9 @@ def write_file(
     files that cannot be split on reading, such as multi-line CSV.
     """
     if file_type not in FILE_TYPES:
-        raise ValueError(f"Cannot write DataFrame to file. Unknown file type: {file_type}")
+        raise ValueError(f"No writer for {file_type!r}; there is one for {FILE_TYPES}")
     writer = df.write.format(file_type).mode(write_mode).options(**(write_props or {}))
     try:
         writer.save(fspath(file_path))
     except PySparkException as error:
-        raise ConnectorError(f"Failed to write DataFrame to file {file_path}: {error}") from error
+        raise ConnectorError(f"Writing {file_type} at {file_path}: {error}") from error

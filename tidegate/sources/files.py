@@ -28,14 +28,14 @@ def read_file(
     over JSON to infer types, and reads every CSV column as a string.
     """
     if file_type not in FILE_TYPES:
-        raise ValueError(f"Cannot read file. Unknown file type: {file_type}")
+        raise ValueError(f"No reader for {file_type!r}; there is one for {FILE_TYPES}")
     reader = spark.read.format(file_type).options(**(read_props or {}))
     if schema is not None:
         reader = reader.schema(schema)
     try:
         return reader.load(fspath(file_path))
     except PySparkException as error:
-        raise ConnectorError(f"Failed to read file {file_path}: {error}") from error
+        raise ConnectorError(f"Reading {file_type} at {file_path}: {error}") from error
 
 
 def preview(df: DataFrame, rows: int = 10, order_by: list[str] | None = None) -> DataFrame:

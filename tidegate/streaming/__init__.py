@@ -1,5 +1,11 @@
-from tidegate.streaming.late_buffer import hold_late_records
+from tidegate.streaming.late_buffer import hold_late_records, rocksdb_state
 from tidegate.streaming.late_split import split_late_stream
 from tidegate.streaming.writers import write_text_stream, write_windows_csv
 
-__all__ = ["hold_late_records", "split_late_stream", "write_text_stream", "write_windows_csv"]
+__all__ = [
+    "hold_late_records",
+    "rocksdb_state",
+    "split_late_stream",
+    "write_text_stream",
+    "write_windows_csv",
+]

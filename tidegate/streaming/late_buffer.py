@@ -2,33 +2,52 @@
 
 The lateness itself is decided upstream (``split_late_stream``), so this operator
 runs in processing time, where Spark drops no row, and only keeps the buffers and
-their timers. Needs the RocksDB state store.
+their timers. Start its query within ``rocksdb_state``.
 """
 
 from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 # Workers get the processor below with the task, so they need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 FAST_MS = 5_000
 REGULAR_MS = 30_000
-SLOTS = 16
-ROWS_OUT = 10_000
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-OUTPUT = StructType([StructField("item", StringType()), StructField("value", StringType())])
+OUTPUT = "item STRING, value STRING"
+# Spark's settings for state on disk, with changes uploaded batch by batch.
+ROCKSDB_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Queries started within keep their state in RocksDB, as timers and lists need."""
+    before = {name: spark.conf.get(name, None) for name in ROCKSDB_STATE}
+    for name, value in ROCKSDB_STATE.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def next_expiry(
@@ -58,8 +77,8 @@ class LateBuffer(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getListState("held", StructType([StructField("value", StringType())]))
-        self.expiry = handle.getValueState("expiry", StructType([StructField("at", LongType())]))
+        self.held = handle.getListState("held", "values ARRAY<STRING>")
+        self.expiry = handle.getValueState("expiry", "at LONG")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         any_late = False
@@ -67,7 +86,7 @@ class LateBuffer(StatefulProcessor):
             late = chunk.loc[chunk["late"], "value"]
             if len(late):
                 any_late = True
-                self.held.appendList([(value,) for value in late])
+                self.held.appendValue((late.tolist(),))
         kept = self.expiry.get() if self.expiry.exists() else None
         current = None if kept is None else int(kept[0])
         now = timerValues.getCurrentProcessingTimeInMs()
@@ -80,14 +99,8 @@ class LateBuffer(StatefulProcessor):
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        values: list[str] = []
-        for (value,) in self.held.get():
-            values.append(value)
-            if len(values) == ROWS_OUT:
-                yield pd.DataFrame({"item": key[0], "value": values})
-                values = []
-        if values:
-            yield pd.DataFrame({"item": key[0], "value": values})
+        for (values,) in self.held.get():
+            yield pd.DataFrame({"item": key[0], "value": list(values)})
         self.held.clear()
         self.expiry.clear()
 
@@ -111,18 +124,22 @@ def hold_late_records(
     item_col: str = "item",
     value_col: str = "value",
     late_col: str = "late",
-    slots: int = SLOTS,
+    slots: int | None = None,
     fast_ms: int = FAST_MS,
     regular_ms: int = REGULAR_MS,
 ) -> DataFrame:
     """Buffer the late rows of ``flagged`` by item; each comes out when it expires.
 
     The rows of an item are spread over ``slots`` buffers by a hash of their text,
-    as one item may hold a large part of the stream. Every buffer follows the
+    as one item may hold a large part of the stream; by default there are as many as
+    shuffle partitions, so any item can use all of them. Every buffer follows the
     expiry rule on its own rows; ``slots=1`` gives one buffer per item. Of on-time
     rows only the arrival matters, so before the shuffle those of an Arrow batch
-    shrink to one mark per buffer.
+    shrink to one mark per buffer. Bound the source's intake per trigger: a buffer
+    holds what came in within an expiry.
     """
+    if slots is None:
+        slots = int(flagged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     text = F.col(value_col)
     placed = flagged.select(
         F.col(item_col).alias("item"),

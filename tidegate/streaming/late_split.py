@@ -2,23 +2,25 @@
 
 Spark's own watermark drops rows only inside stateful operators, by whole windows
 and without handing them over. Here each micro-batch is compared with the watermark
-of the batches before it: the highest event time they held, less the bound, less one
-millisecond. It is one maximum over all sources. On-time, late and malformed rows
-are written in one job, which also observes the batch's highest event time, so a
-batch is read once.
+that the batches before it left: an event time they reached, less the bound, less one
+millisecond. On-time, late and malformed rows are written in one job.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidegate.columns import named
 from tidegate.operators.lateness import is_late
 from tidegate.streaming.writers import TRIGGER
 
 ON_TIME, LATE, MALFORMED = "on_time", "late", "malformed"
-STATE = "batch_id LONG, top_micros LONG"
+REACHED = "batch_id LONG, micros LONG"
+SOURCES = "source STRING, micros LONG, seen_ms LONG"
 
 
 def split_late_stream(
@@ -27,17 +29,24 @@ def split_late_stream(
     checkpoint: str,
     time_col: str = "txn_timestamp",
     bound_ms: int = 3000,
+    source_col: str | None = None,
+    idle_ms: int | None = 5000,
     file_type: str = "parquet",
     columns: list[str] | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Write every row under ``path/batch_id=<n>/route=<on_time|late|malformed>``.
 
-    ``columns`` are the ones to write, all by default; text files take one.
-
-    Each batch overwrites its own folder and the watermark it starts from is kept
+    Each batch overwrites its own folder and the event time it starts from is kept
     under the checkpoint, so a batch that is run again after a failure splits the
     same way and leaves no double rows. A row without event time is malformed.
+    ``columns`` are the ones to write, all by default; text files take one.
+
+    The event time reached is the highest one of all rows, which the write job itself
+    observes, so a batch is read once. With ``source_col`` (a topic's partition) it is
+    the one the slowest source has reached; a source that brought nothing for
+    ``idle_ms`` is not waited for, and ``None`` waits for every source seen so far.
+    Batches are then held on the executors for the second job, one row per source.
     """
     spark = rows.sparkSession
     state = f"{checkpoint.rstrip('/')}/event-time"
@@ -45,51 +54,85 @@ def split_late_stream(
 
     def split(batch: DataFrame, batch_id: int) -> None:
         before = batch_id - 1
-        top = last[before] if before in last else top_before(spark, state, batch_id)
-        highest = F.timestamp_micros(F.lit(top).cast("long"))
+        reached = last[before] if before in last else reached_before(spark, state, batch_id)
+        highest = F.timestamp_micros(F.lit(reached).cast("long"))
         route = (
             F.when(F.col(time_col).isNull(), MALFORMED)
             .when(is_late(F.col(time_col), highest, bound_ms), LATE)
             .otherwise(ON_TIME)
         )
+        if source_col is None:
+            newest = write(batch.withColumn("route", route), batch_id)
+        else:
+            batch.persist()
+            try:
+                write(batch.withColumn("route", route), batch_id)
+                tops = batch.groupBy(named(source_col).cast("string").alias("source")).agg(
+                    F.max(F.unix_micros(time_col)).alias("micros")
+                )
+                newest = slowest_source(spark, state, batch_id, tops, idle_ms)
+            finally:
+                batch.unpersist()
+        reached = max((m for m in (reached, newest) if m is not None), default=None)
+        keep_reached(spark, state, batch_id, reached)
+        last.clear()
+        last[batch_id] = reached
+
+    def write(routed: DataFrame, batch_id: int) -> int | None:
         seen = Observation()
-        routed = batch.withColumn("route", route).observe(
-            seen, F.max(F.unix_micros(time_col)).alias("top")
-        )
+        routed = routed.observe(seen, F.max(F.unix_micros(time_col)).alias("micros"))
         if columns is not None:
             routed = routed.select(*columns, "route")
         writer = routed.write.mode("overwrite").partitionBy("route").format(file_type)
         writer.save(f"{path.rstrip('/')}/batch_id={batch_id}")
-        tops = [micros for micros in (top, seen.get["top"]) if micros is not None]
-        top = max(tops, default=None)
-        keep_top(spark, state, batch_id, top)
-        last.clear()
-        last[batch_id] = top
+        return seen.get["micros"]
 
     writer = rows.writeStream.foreachBatch(split).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or TRIGGER)).start()
 
 
-def top_before(spark: SparkSession, state: str, batch_id: int) -> int | None:
-    """The highest event time of all batches before ``batch_id``, in microseconds."""
+# State lives in two slots that take turns: a batch reads one and writes the other, so
+# the slot it starts from is still there if it has to be run again.
+
+
+def reached_before(spark: SparkSession, state: str, batch_id: int) -> int | None:
+    """The event time reached before ``batch_id``, in microseconds."""
     if batch_id == 0:
         return None
-    kept = spark.read.schema(STATE).json(_slot(state, batch_id - 1)).first()
+    kept = spark.read.schema(REACHED).json(_slot(state, "reached", batch_id - 1)).first()
     if kept is None or kept["batch_id"] != batch_id - 1:
         raise RuntimeError(f"No event-time state for batch {batch_id - 1} under {state}")
-    return kept["top_micros"]
-
+    return kept["micros"]
 
-def keep_top(spark: SparkSession, state: str, batch_id: int, top_micros: int | None) -> None:
-    """Keep the highest event time up to and with ``batch_id``.
 
-    Two slots take turns: the slot a batch starts from is not touched by that batch.
-    """
+def keep_reached(spark: SparkSession, state: str, batch_id: int, micros: int | None) -> None:
+    """Keep the event time reached with ``batch_id``."""
     kept = spark.range(0, 1, 1, 1).select(
-        F.lit(batch_id).alias("batch_id"), F.lit(top_micros).cast("long").alias("top_micros")
+        F.lit(batch_id).alias("batch_id"), F.lit(micros).cast("long").alias("micros")
+    )
+    kept.write.mode("overwrite").json(_slot(state, "reached", batch_id))
+
+
+def slowest_source(
+    spark: SparkSession, state: str, batch_id: int, tops: DataFrame, idle_ms: int | None
+) -> int | None:
+    """Keep how far each source has come with ``batch_id``; give the least of the active."""
+    now_ms = int(time.time() * 1000)
+    known = tops.withColumn("seen_ms", F.lit(now_ms))
+    if batch_id > 0:
+        known = known.unionByName(
+            spark.read.schema(SOURCES).json(_slot(state, "sources", batch_id - 1))
+        )
+    slot = _slot(state, "sources", batch_id)
+    merged = known.groupBy("source").agg(
+        F.max("micros").alias("micros"), F.max("seen_ms").alias("seen_ms")
     )
-    kept.write.mode("overwrite").json(_slot(state, batch_id))
+    merged.coalesce(1).write.mode("overwrite").json(slot)
+    active = spark.read.schema(SOURCES).json(slot)
+    if idle_ms is not None:
+        active = active.where(F.col("seen_ms") >= now_ms - idle_ms)
+    return active.agg(F.min("micros")).first()[0]
 
 
-def _slot(state: str, batch_id: int) -> str:
-    return f"{state}/slot-{batch_id % 2}"
+def _slot(state: str, kind: str, batch_id: int) -> str:
+    return f"{state}/{kind}-{batch_id % 2}"
