@@ -35,7 +35,7 @@ def late_by_loop(rows, bound_ms):
     return late
 
 
-@pytest.mark.parametrize("chunk", [1, 7, 100, 1 << 18])
+@pytest.mark.parametrize("chunk", [1, 7, 100, 1 << 16])
 def test_same_as_a_loop(spark, chunk):
     rows = recorded(chunk, 600)
     schema = "number INT, source STRING, place LONG, moment TIMESTAMP_NTZ"

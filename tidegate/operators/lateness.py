@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CHUNK = 1 << 18
+CHUNK = 1 << 16
 
 
 def is_late(event_time: Column, highest: Column, bound_ms: int) -> Column:

@@ -19,6 +19,7 @@ from tidegate.operators.lateness import is_late
 from tidegate.streaming.writers import TRIGGER
 
 ON_TIME, LATE, MALFORMED = "on_time", "late", "malformed"
+ROUTES = 3
 REACHED = "batch_id LONG, micros LONG"
 SOURCES = "source STRING, micros LONG, seen_ms LONG"
 
@@ -53,6 +54,8 @@ def split_late_stream(
     last: dict[int, int | None] = {}  # this run's newest batch; only a restart reads the file
 
     def split(batch: DataFrame, batch_id: int) -> None:
+        # A task keeps a file open per route, where it would else sort its rows by route.
+        batch.sparkSession.conf.set("spark.sql.maxConcurrentOutputFileWriters", ROUTES)
         before = batch_id - 1
         reached = last[before] if before in last else reached_before(spark, state, batch_id)
         highest = F.timestamp_micros(F.lit(reached).cast("long"))
