@@ -114,7 +114,8 @@ FROM lineitem""",
 )
 def validation_suite(spark, sf_dir):
     lines = lines_with_gaps(spark, sf_dir)
-    return validate(lines, [PRIMARY_KEY, NULLS], LINE_KEY, ["l_returnflag"]).dataset_level.drop("ts")
+    suite = validate(lines, [PRIMARY_KEY, NULLS], LINE_KEY, ["l_returnflag"])
+    return suite.dataset_level.drop("ts")
 
 
 @query("preview_rows", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 10")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.registry import query, table
+from catalog.registry import query, utc
 from tidegate.operators.validation import NULLS, PRIMARY_KEY
 from tidegate.plans import ingest, ingest_all
 from tidegate.sources import read_file
@@ -43,10 +43,9 @@ def both_checks(keys: list[str], required: list[str]) -> dict:
 @query("ingest_dataset", "SELECT * FROM lineitem")
 def ingest_dataset(spark, sf_dir):
     """The key check fails on this table, and all of it is loaded all the same."""
-    table(spark, sf_dir, "lineitem")
     target = fresh_folder(spark, "ingest")
     checks = both_checks(["l_orderkey", "l_linenumber"], ["l_quantity", "l_shipdate"])
-    ingest(spark, file_job(sf_dir, "lineitem", target), checks)
+    ingest(utc(spark), file_job(sf_dir, "lineitem", target), checks)
     return read_file(spark, f"{target}/lineitem")
 
 
@@ -57,7 +56,6 @@ SELECT 'orders' AS dataset, o_orderkey AS record_key, o_totalprice AS amount FRO
 UNION ALL SELECT 'customer', c_custkey, c_acctbal FROM customer""",
 )
 def ingest_all_jobs(spark, sf_dir):
-    table(spark, sf_dir, "orders")
     target = fresh_folder(spark, "ingest-all")
     specs = {
         "ingest~orders": file_job(sf_dir, "orders", target, "orc"),
@@ -67,7 +65,7 @@ def ingest_all_jobs(spark, sf_dir):
         "ingest~orders": both_checks(["o_orderkey"], ["o_custkey", "o_orderdate"]),
         "ingest~customer": both_checks(["c_custkey"], ["c_name"]),
     }
-    ingest_all(spark, list(specs), specs, checks)
+    ingest_all(utc(spark), list(specs), specs, checks)
     orders = read_file(spark, f"{target}/orders", "orc").select(
         F.lit("orders").alias("dataset"),
         F.col("o_orderkey").alias("record_key"),

@@ -17,7 +17,6 @@ from tidegate.streaming.late_buffer import OUTPUT
 from tidegate.streaming.late_split import LATE, MALFORMED
 from tidegate.workspace import fresh_folder
 
-CHUNK = 4096
 SLICES = 4
 
 REPLAY = """
@@ -37,7 +36,7 @@ def replayed(spark, sf_dir):
         (F.col("user_id") % 3).alias("source"),
         (F.col("event_id") + held_back).alias("arrival"),
     )
-    return flag_late(arrivals, "source", "arrival", "ts", chunk=CHUNK)
+    return flag_late(arrivals, "source", "arrival", "ts")
 
 
 @query("late_records", f"SELECT event_id FROM ({REPLAY}) WHERE late")
@@ -53,10 +52,12 @@ def on_time_records(spark, sf_dir):
 # Every tenth event comes one batch after its neighbours.
 BATCHES = f"""
 WITH arrived AS (
-  SELECT event_id, item, retailer, line, CASE WHEN {READABLE} THEN date_trunc('second', txn_timestamp) END AS t,
+  SELECT event_id, item, retailer, line,
+    CASE WHEN {READABLE} THEN date_trunc('second', txn_timestamp) END AS t,
     ((event_id - low) * {SLICES} // span + CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END)::INTEGER
       AS batch_id
-  FROM {LINES}, (SELECT min(event_id) AS low, max(event_id) - min(event_id) + 1 AS span FROM events)),
+  FROM {LINES},
+    (SELECT min(event_id) AS low, max(event_id) - min(event_id) + 1 AS span FROM events)),
 tops AS (
   SELECT batch_id, max(max(t)) OVER (ORDER BY batch_id
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM arrived GROUP BY batch_id),
@@ -101,7 +102,8 @@ def stream_late_split(spark, sf_dir):
 steps AS (SELECT DISTINCT batch_id FROM arrived),
 starts AS (SELECT retailer, min(batch_id) AS first_batch FROM arrived GROUP BY retailer),
 reached AS (
-  SELECT s.batch_id, r.retailer, max(max(a.t)) OVER (PARTITION BY r.retailer ORDER BY s.batch_id) AS top
+  SELECT s.batch_id, r.retailer,
+    max(max(a.t)) OVER (PARTITION BY r.retailer ORDER BY s.batch_id) AS top
   FROM steps s JOIN starts r ON s.batch_id >= r.first_batch
   LEFT JOIN arrived a ON a.batch_id = s.batch_id AND a.retailer = r.retailer
   GROUP BY s.batch_id, r.retailer),

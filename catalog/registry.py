@@ -27,10 +27,15 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the tables; their timestamps have no zone and are taken as UTC."""
+def utc(spark: SparkSession) -> SparkSession:
+    """The session, in UTC: the tables' timestamps have no zone and are taken as such."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return read_file(spark, f"{sf_dir}/{name}.parquet")
+    return spark
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the tables."""
+    return read_file(utc(spark), f"{sf_dir}/{name}.parquet")
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, **options: str) -> DataFrame:

@@ -123,7 +123,8 @@ def id_range(events: DataFrame) -> tuple[int, int]:
     "stream_resume_from_checkpoint",
     """
 SELECT event_id, CASE WHEN (event_id - low) * 2 // span = 0 THEN 1 ELSE 2 END AS run
-FROM events, (SELECT min(event_id) AS low, max(event_id) - min(event_id) + 1 AS span FROM events)""",
+FROM events,
+  (SELECT min(event_id) AS low, max(event_id) - min(event_id) + 1 AS span FROM events)""",
 )
 def stream_resume_from_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs on one checkpoint: the second gets only what came in between them."""

@@ -75,6 +75,13 @@ def test_bad_spec_is_refused(direction, raw):
         connector(direction, raw)
 
 
+def test_source_spec_may_bring_its_schema(spark, tmp_path):
+    spec = {**PARQUET, "file_type": "csv", "file_path": f"{tmp_path}/in", "read_props": {}}
+    spark.range(3).write.csv(f"{tmp_path}/in")
+    df = connector("source", {**spec, "schema": "id LONG"}).read(spark)
+    assert sorted(row.id for row in df.collect()) == [0, 1, 2]
+
+
 def test_connector_keeps_to_its_direction(spark):
     source = connector("source", {**PARQUET, "read_props": {}})
     with pytest.raises(ValueError):

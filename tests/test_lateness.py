@@ -18,7 +18,8 @@ def recorded(seed, rows):
         source = rng.choice(["hot", "hot", "a", "b", None])
         offset = offsets.get(source, 0) + rng.choice([1, 1, 1, 40])
         offsets[source] = offset
-        moment = START + dt.timedelta(milliseconds=number * 100 - rng.choice([0, 0, 2900, 3100, 9000]))
+        behind = rng.choice([0, 0, 2900, 3100, 9000])
+        moment = START + dt.timedelta(milliseconds=number * 100 - behind)
         out.append((number, source, offset, None if rng.random() < 0.05 else moment))
     return out
 

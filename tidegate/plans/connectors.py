@@ -29,7 +29,9 @@ class Connector:
     direction: str
     arguments: dict[str, object]
 
-    def read(self, spark: SparkSession, connections: Mapping[str, Mapping] | None = None):
+    def read(
+        self, spark: SparkSession, connections: Mapping[str, Mapping] | None = None
+    ) -> DataFrame:
         """The dataset behind a source spec."""
         if self.direction != "source":
             raise ValueError("Cannot read from a sink")

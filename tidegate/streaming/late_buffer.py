@@ -116,7 +116,8 @@ def mark_on_time(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = rows.filter(pc.invert(late)).group_by(["item", "slot"]).aggregate([])
         marks = marks.append_column("late", pa.array([False] * len(marks), pa.bool_()))
         marks = marks.append_column("value", pa.nulls(len(marks), rows["value"].type))
-        yield from pa.concat_tables([rows.filter(late), marks.select(rows.column_names)]).to_batches()
+        marks = marks.select(rows.column_names)
+        yield from pa.concat_tables([rows.filter(late), marks]).to_batches()
 
 
 def hold_late_records(

@@ -41,7 +41,8 @@ def split_late_stream(
     Each batch overwrites its own folder and the event time it starts from is kept
     under the checkpoint, so a batch that is run again after a failure splits the
     same way and leaves no double rows. A row without event time is malformed.
-    ``columns`` are the ones to write, all by default; text files take one.
+    ``columns`` are the ones to write, all by default; text files take one. A stream
+    that reads the result while it is written may see a repeated batch's files twice.
 
     The event time reached is the highest one of all rows, which the write job itself
     observes, so a batch is read once. With ``source_col`` (a topic's partition) it is
