@@ -2,11 +2,11 @@
 
 import pytest
 
-from catalog.jobs import both_checks, file_job
 from tidegate.errors import IngestError
 from tidegate.operators.validation import NULLS, PRIMARY_KEY
 from tidegate.plans import ingest, ingest_all
 from tidegate.workspace import fresh_folder
+from tidegate_queries.jobs import both_checks, file_job
 
 SCHEMA = "product_id INT, item STRING, quantity INT"
 ROWS = [(1, "a", 1), (1, "b", 2), (2, None, 3)]

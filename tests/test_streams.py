@@ -5,7 +5,6 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from catalog.late import ROUTED, drain
 from tidegate.functions import parse_delimited
 from tidegate.operators import tumbling_aggregate
 from tidegate.plans import on_time_to_text
@@ -18,6 +17,7 @@ from tidegate.streaming import (
     write_windows_csv,
 )
 from tidegate.streaming.late_buffer import OUTPUT, ROCKSDB_STATE, next_expiry
+from tidegate_queries.late import ROUTED, drain
 
 NOW = {"availableNow": True}
 START = dt.datetime(2024, 1, 1)

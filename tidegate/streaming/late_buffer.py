@@ -14,7 +14,7 @@ from contextlib import contextmanager
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -108,16 +108,23 @@ class LateBuffer(StatefulProcessor):
         pass
 
 
-def mark_on_time(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All late rows, and one row for each buffer that on-time rows belong to."""
-    for batch in batches:
+def place_in_slots(
+    batches: Iterator[pa.RecordBatch], slots: int
+) -> Iterator[pa.RecordBatch]:
+    """All late rows of an Arrow batch and one mark per item with on-time rows, in one slot.
+
+    Batches take the slots in turn, each task from another one on. A repeated task
+    gives the same slots, as it gets the same batches.
+    """
+    first = TaskContext.get().partitionId()
+    for number, batch in enumerate(batches):
         rows = pa.Table.from_batches([batch])
         late = rows["late"]
-        marks = rows.filter(pc.invert(late)).group_by(["item", "slot"]).aggregate([])
+        marks = rows.filter(pc.invert(late)).group_by("item").aggregate([])
         marks = marks.append_column("late", pa.array([False] * len(marks), pa.bool_()))
-        marks = marks.append_column("value", pa.nulls(len(marks), rows["value"].type))
-        marks = marks.select(rows.column_names)
-        yield from pa.concat_tables([rows.filter(late), marks]).to_batches()
+        kept = pa.concat_tables([rows.filter(late), marks], promote_options="default")
+        slot = pa.array([(first + number) % slots] * len(kept), pa.int32())
+        yield from kept.append_column("slot", slot).to_batches()
 
 
 def hold_late_records(
@@ -131,25 +138,27 @@ def hold_late_records(
 ) -> DataFrame:
     """Buffer the late rows of ``flagged`` by item; each comes out when it expires.
 
-    The rows of an item are spread over ``slots`` buffers by a hash of their text,
-    as one item may hold a large part of the stream; by default there are as many as
+    The rows of an item are spread over ``slots`` buffers, as one item, or copies of
+    one row, may make up a large part of the stream; by default there are as many as
     shuffle partitions, so any item can use all of them. Every buffer follows the
     expiry rule on its own rows; ``slots=1`` gives one buffer per item. Of on-time
-    rows only the arrival matters, so before the shuffle those of an Arrow batch
-    shrink to one mark per buffer. Bound the source's intake per trigger: a buffer
-    holds what came in within an expiry.
+    rows only the arrival matters, so they shrink to marks before the shuffle. Bound
+    the source's intake per trigger: a buffer holds what came in within an expiry.
     """
     if slots is None:
         slots = int(flagged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    text = F.col(value_col)
-    placed = flagged.select(
+    late = F.coalesce(F.col(late_col), F.lit(False))
+    rows = flagged.select(
         F.col(item_col).alias("item"),
-        F.pmod(F.xxhash64(text), F.lit(slots)).alias("slot"),
-        F.col(late_col).alias("late"),
-        F.when(F.col(late_col), text).alias("value"),
+        late.alias("late"),
+        F.when(late, F.col(value_col)).alias("value"),
     )
-    marked = placed.mapInArrow(mark_on_time, placed.schema)
-    return marked.groupBy("item", "slot").transformWithStateInPandas(
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return place_in_slots(batches, slots)
+
+    placed = rows.mapInArrow(place, "item STRING, late BOOLEAN, value STRING, slot INT")
+    return placed.groupBy("item", "slot").transformWithStateInPandas(
         statefulProcessor=LateBuffer(fast_ms, regular_ms),
         outputStructType=OUTPUT,
         outputMode="append",

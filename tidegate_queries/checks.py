@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.registry import query, table
 from tidegate.operators.validation import (
     NULLS,
     PRIMARY_KEY,
@@ -15,6 +14,7 @@ from tidegate.operators.validation import (
     validate,
 )
 from tidegate.sources import preview
+from tidegate_queries.registry import query, table
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.registry import GOODS, goods, query, table
 from tidegate.functions import (
     add_wire_header,
     decode_avro,
@@ -16,6 +15,7 @@ from tidegate.functions import (
 )
 from tidegate.functions.avro import CONSUMER_GOOD
 from tidegate.plans import decode_messages
+from tidegate_queries.registry import GOODS, goods, query, table
 
 SCHEMA_ID = 258
 FIELDS = ("item", "retailer", "price", "txn_timestamp")

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.registry import query, utc
 from tidegate.operators.validation import NULLS, PRIMARY_KEY
 from tidegate.plans import ingest, ingest_all
 from tidegate.sources import read_file
 from tidegate.workspace import fresh_folder
+from tidegate_queries.registry import query, utc
 
 
 def file_job(sf_dir: str, name: str, target: str, file_type: str = "parquet") -> dict:

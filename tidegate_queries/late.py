@@ -7,15 +7,15 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.codecs import LINES, READABLE, lines
-from catalog.registry import goods, query, table
-from catalog.streams import NOW, PARTS, PATIENCE, finish, id_range
 from tidegate.functions import parse_delimited
 from tidegate.operators import flag_late
 from tidegate.streaming import hold_late_records, rocksdb_state, split_late_stream
 from tidegate.streaming.late_buffer import OUTPUT
 from tidegate.streaming.late_split import LATE, MALFORMED
 from tidegate.workspace import fresh_folder
+from tidegate_queries.codecs import LINES, READABLE, lines
+from tidegate_queries.registry import goods, query, table
+from tidegate_queries.streams import NOW, PARTS, PATIENCE, finish, id_range
 
 SLICES = 4
 

@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from catalog.codecs import LINES, READABLE, lines, plain_time, topic
-from catalog.registry import GOODS, goods, query, table, table_stream
 from tidegate.functions import parse_delimited
 from tidegate.functions.avro import CONSUMER_GOOD
 from tidegate.operators import tumbling_aggregate
 from tidegate.plans import windows_to_csv
 from tidegate.streaming import write_text_stream
 from tidegate.workspace import fresh_folder
+from tidegate_queries.codecs import LINES, READABLE, lines, plain_time, topic
+from tidegate_queries.registry import GOODS, goods, query, table, table_stream
 
 NOW = {"availableNow": True}
 PATIENCE = 4 * 3600
