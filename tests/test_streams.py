@@ -124,6 +124,20 @@ def test_text_job_keeps_lines_as_they_were(spark, tmp_path):
         assert sorted(row.value for row in kept.collect()) == sorted(expected)
 
 
+def test_text_job_waits_for_the_slowest_partition(spark, tmp_path):
+    for batch in ([line(100, "0"), line(50, "1")], [line(48, "1"), line(46, "0")]):
+        arrive(spark, tmp_path / "in", batch)
+        lines = spark.readStream.text(f"{tmp_path}/in")
+        lines = lines.withColumn("partition", F.substring("value", 1, 1).cast("int"))
+        finish(
+            on_time_to_text(
+                lines, f"{tmp_path}/out", f"{tmp_path}/check", idle_ms=None, trigger=NOW
+            )
+        )
+    late = spark.read.text(f"{tmp_path}/out/batch_id=*/route=late").collect()
+    assert [row.value for row in late] == [line(46, "0")]
+
+
 def test_late_split_of_empty_batches(spark, tmp_path):
     for batch in ([line(10)], ["skip"], [line(1), line(11)]):
         arrive(spark, tmp_path / "in", batch)

@@ -31,10 +31,14 @@ def windows_to_csv(
     checkpoint: str,
     window: str = "10 seconds",
     watermark: str = "5 seconds",
+    mode: str = "FAILFAST",
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Avro messages to CSV rows per window and retailer, in folders by window start."""
-    records = decode_messages(messages, schema)
+    """Avro messages to CSV rows per window and retailer, in folders by window start.
+
+    With ``mode='PERMISSIVE'`` unreadable messages belong to no window and are left out.
+    """
+    records = decode_messages(messages, schema, mode)
     windows = tumbling_aggregate(records, window=window, watermark=watermark)
     return write_windows_csv(windows, path, checkpoint, trigger=trigger)
 
@@ -44,14 +48,20 @@ def on_time_to_text(
     path: str,
     checkpoint: str,
     bound_ms: int = 3000,
+    idle_ms: int | None = 5000,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Delimited messages to text files, with late and malformed lines in their own folders."""
+    """Delimited messages to text files, with late and malformed lines in their own folders.
+
+    Messages that carry their topic's ``partition`` are judged by the slowest partition.
+    """
     return split_late_stream(
         parse_delimited(messages),
         path,
         checkpoint,
         bound_ms=bound_ms,
+        source_col="partition" if "partition" in messages.columns else None,
+        idle_ms=idle_ms,
         file_type="text",
         columns=["value"],
         trigger=trigger,
