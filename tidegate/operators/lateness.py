@@ -8,10 +8,11 @@ partitions is not taken.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 CHUNK = 1 << 16
+LEVELS = 2
 
 
 def is_late(event_time: Column, highest: Column, bound_ms: int) -> Column:
@@ -30,32 +31,41 @@ def flag_late(
 ) -> DataFrame:
     """Add ``late`` to each record, replaying every source in offset order.
 
-    Offsets must be unique within a source. The running maximum is not taken over a
-    whole source, which may hold most of the rows: offsets are cut into ranges of
-    ``chunk``, and each range is one group of at most that many rows. A range is led
-    by one seed row with the maximum of the ranges before it; seeds are one row per
-    range, so only they are ordered across a source. The records are shuffled once.
+    Offsets must be unique within a source. The records are shuffled once, in groups
+    of at most ``chunk``, however many of them one source holds.
     """
-    part = F.expr(f"`{offset_col}` DIV {chunk}").alias("__part")
-    earlier_parts = (
-        Window.partitionBy(source_col).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    seeds = (
-        df.groupBy(source_col, part)
-        .agg(F.max(time_col).alias("__top"))
-        .select(source_col, "__part", F.max("__top").over(earlier_parts).alias(time_col))
-    )
-    replayed = df.select("*", part, F.lit(True).alias("__record")).unionByName(
-        seeds.withColumn("__record", F.lit(False)), allowMissingColumns=True
-    )
-    earlier_rows = (
-        Window.partitionBy(source_col, "__part")
-        .orderBy("__record", offset_col)
-        .rowsBetween(Window.unboundedPreceding, -1)
+    replayed = with_earlier_top(df, source_col, offset_col, time_col, chunk, LEVELS)
+    late = is_late(F.col(time_col), F.col("__earlier"), bound_ms)
+    return replayed.withColumn("late", late).select(*df.columns, "late")
+
+
+def with_earlier_top(
+    rows: DataFrame, source_col: str, place_col: str, time_col: str, chunk: int, levels: int
+) -> DataFrame:
+    """Add ``__earlier``: the highest ``time_col`` at lower places of the same source.
+
+    A running maximum over a whole source would put that source in one task. So places
+    are cut into ranges of ``chunk``, and each range is led by one seed row that holds
+    the maximum of the ranges before it. The seeds are a running maximum themselves,
+    over one row per range, found the same way one level up; at the last level there
+    is one row left for every ``chunk ** levels`` places.
+    """
+    if levels == 0:
+        earlier = Window.partitionBy(source_col).orderBy(place_col)
+        return rows.withColumn("__earlier", _top_before(time_col, earlier))
+    range_col = f"__range{levels}"
+    cut = F.expr(f"`{place_col}` DIV {chunk}").alias(range_col)
+    ranges = rows.groupBy(source_col, cut).agg(F.max(time_col).alias(time_col))
+    seeds = with_earlier_top(ranges, source_col, range_col, time_col, chunk, levels - 1).select(
+        source_col, range_col, F.col("__earlier").alias(time_col), F.lit(False).alias("__row")
     )
-    return (
-        replayed.withColumn("__highest", F.max(time_col).over(earlier_rows))
-        .where("__record")
-        .withColumn("late", is_late(F.col(time_col), F.col("__highest"), bound_ms))
-        .select(*df.columns, "late")
+    led = rows.select("*", cut, F.lit(True).alias("__row")).unionByName(
+        seeds, allowMissingColumns=True
     )
+    earlier = Window.partitionBy(source_col, range_col).orderBy("__row", place_col)
+    led = led.withColumn("__earlier", _top_before(time_col, earlier)).where("__row")
+    return led.drop(range_col, "__row")
+
+
+def _top_before(time_col: str, ordered: WindowSpec) -> Column:
+    return F.max(time_col).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
