@@ -32,6 +32,7 @@ def windows_to_csv(
     window: str = "10 seconds",
     watermark: str = "5 seconds",
     mode: str = "FAILFAST",
+    files_per_partition: int | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Avro messages to CSV rows per window and retailer, in folders by window start.
@@ -40,7 +41,9 @@ def windows_to_csv(
     """
     records = decode_messages(messages, schema, mode)
     windows = tumbling_aggregate(records, window=window, watermark=watermark)
-    return write_windows_csv(windows, path, checkpoint, trigger=trigger)
+    return write_windows_csv(
+        windows, path, checkpoint, files_per_partition=files_per_partition, trigger=trigger
+    )
 
 
 def on_time_to_text(

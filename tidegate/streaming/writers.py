@@ -16,21 +16,21 @@ def write_windows_csv(
     path: str,
     checkpoint: str,
     partition_by: tuple[str, ...] = ("window_start",),
-    files_per_partition: int = 1,
+    files_per_partition: int | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Append finished windows to CSV, one folder for each value of ``partition_by``.
 
-    The rows of a folder are brought together before the write, or every task would
-    leave a small file in every folder. Raise ``files_per_partition`` where a window
-    has more groups than one file should hold; pass no ``partition_by`` for one flat
-    folder, as short windows make very many.
+    The groups of a window lie in all shuffle partitions, and each of those leaves a
+    file in the folder. Where a window has few groups these files are tiny: give
+    ``files_per_partition``, and the rows of a folder are brought into that many tasks
+    before the write. Pass no ``partition_by`` for one flat folder, as short windows
+    make very many.
     """
-    if partition_by:
+    if partition_by and files_per_partition:
         others = [c for c in windows.columns if c not in partition_by]
         share = F.pmod(F.xxhash64(*[named(c) for c in others]), F.lit(files_per_partition))
-        spread = [share] if files_per_partition > 1 else []
-        windows = windows.repartition(*[named(c) for c in partition_by], *spread)
+        windows = windows.repartition(*[named(c) for c in partition_by], share)
     writer = windows.writeStream.format("csv").outputMode("append")
     return _start(writer.partitionBy(*partition_by), path, checkpoint, trigger)
 

@@ -80,6 +80,7 @@ def stream_csv_sink(spark, sf_dir):
             f"{folder}/rows",
             f"{folder}/checkpoint",
             window="1 hour",
+            files_per_partition=1,  # a window has six groups at most, the retailers
             trigger=NOW,
         )
     )
