@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SEPARATOR = "|"
-# Reading takes one- or two-digit months, days and times; writing pads them.
+# Reading takes unpadded months, days and times too; writing pads them.
 READ_TIME = "yyyy-M-d H:m:s"
 WRITE_TIME = "yyyy-MM-dd HH:mm:ss"
 
