@@ -238,8 +238,11 @@ def test_expiry_rule(current, late, expiry):
 
 
 def test_buffer_gives_back_every_late_record(spark, tmp_path):
-    """One item holds most rows; whatever its slots, nothing is lost or repeated."""
-    rows = [("hot" if n % 3 else f"i{n}", f"line {n}", n % 2 == 0) for n in range(600)]
+    """One item holds most rows, many of them copies; nothing is lost or repeated."""
+    rows = [
+        ("hot" if n % 3 else f"i{n}", f"line {n if n % 5 else 0}", n % 2 == 0 if n % 7 else None)
+        for n in range(700)
+    ]
     schema = "item STRING, value STRING, late BOOLEAN"
     spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/in")
     stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
@@ -254,6 +257,6 @@ def test_buffer_gives_back_every_late_record(spark, tmp_path):
             .start()
         )
     assert {name: spark.conf.get(name, None) for name in ROCKSDB_STATE} == before
-    drain(query, 300)
+    drain(query, sum(late is True for _, _, late in rows))
     got = spark.read.schema(OUTPUT).parquet(f"{tmp_path}/out").collect()
     assert sorted((r.item, r.value) for r in got) == sorted((i, v) for i, v, late in rows if late)
