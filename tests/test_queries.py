@@ -5,10 +5,11 @@ import os
 import pytest
 
 import __spark_entry__
+import tidegate_queries
 from tests.compare import spark_bag, sql_bag
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-QUERIES, ORACLES = __spark_entry__.queries(), __spark_entry__.oracle_sql()
+QUERIES, ORACLES = tidegate_queries.QUERIES, tidegate_queries.ORACLES
 
 
 def test_every_query_has_sql():
@@ -25,5 +26,10 @@ def test_query_matches_sql(spark, name):
     assert rows == expected_rows
 
 
+def test_every_query_is_registered():
+    assert QUERIES.keys() <= __spark_entry__.queries().keys()
+    assert ORACLES.keys() <= __spark_entry__.oracle_sql().keys()
+
+
 def test_entry_runs(spark):
     assert __spark_entry__.entry(spark).count() > 0
