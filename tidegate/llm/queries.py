@@ -6,7 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import decontaminate, poisson_mix, rule_thresholds, simhash_partitions
+from tidegate.llm import (
+    compress_quality,
+    decontaminate,
+    poisson_mix,
+    rule_thresholds,
+    simhash_partitions,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (table(spark, sf_dir, n) for n in ("documents", "labels"))
+    return compress_quality.classify(documents, labels)
+
+
 def op4_simhash_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_partitions.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -35,7 +46,13 @@ def op10_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op4_simhash_partitions, op6_benchmark_decontamination, op9_quality_rules, op10_poisson_mixing)
+    for f in (
+        op2_compression_classifier,
+        op4_simhash_partitions,
+        op6_benchmark_decontamination,
+        op9_quality_rules,
+        op10_poisson_mixing,
+    )
 }
 
 OP6_SQL = r"""
