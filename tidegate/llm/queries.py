@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidegate.llm import (
     compress_quality,
     decontaminate,
+    pii_boost,
     poisson_mix,
     rule_thresholds,
     simhash_partitions,
@@ -26,6 +27,10 @@ def op2_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compress_quality.classify(documents, labels)
 
 
+def op3_pii_candidate_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_boost.find(table(spark, sf_dir, "documents")).drop("redacted")
+
+
 def op4_simhash_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_partitions.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -48,6 +53,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op2_compression_classifier,
+        op3_pii_candidate_boosting,
         op4_simhash_partitions,
         op6_benchmark_decontamination,
         op9_quality_rules,
