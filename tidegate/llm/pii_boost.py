@@ -246,6 +246,24 @@ def redacted(text: str | None, spans: list[Span]) -> str | None:
     return "".join([*out, text[done:]])
 
 
+def redact(docs: DataFrame, columns: list[str], selector: Selector | None = None) -> DataFrame:
+    """The named columns of ``docs`` with the personal data in ``text`` replaced; same rows.
+
+    A null text stays null. See ``find`` for what is replaced.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(selector or fit(docs))
+    chosen = fields(docs, *columns)
+    at = columns.index("text")
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
+            clean = pa.array([redacted(t, shared.value.spans(t)[1]) for t in texts], pa.string())
+            yield batch.set_column(at, "text", clean)
+
+    return chosen.mapInArrow(of, chosen.schema)
+
+
 def find(docs: DataFrame, selector: Selector | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, counts of base spans, base_sha256, spans, redacted.
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tidegate.llm import (
     compress_quality,
     decontaminate,
@@ -59,7 +60,7 @@ QUERIES: dict[str, Query] = {
         op9_quality_rules,
         op10_poisson_mixing,
     )
-}
+} | {"pipeline": corpus_pipeline.run}
 
 OP6_SQL = r"""
 WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(
