@@ -14,6 +14,8 @@ from tidegate.llm import (
     poisson_mix,
     rule_thresholds,
     simhash_partitions,
+    token_attribution,
+    warc_shards,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,11 +38,19 @@ def op4_simhash_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_partitions.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_warc_sharded_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_shards.round_trip(table(spark, sf_dir, "pages")).drop("url")
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, benchmark = (table(spark, sf_dir, n) for n in ("documents", "benchmark"))
     return decontaminate.contamination(documents, benchmark).drop("hit_at")
 
 
+def op8_token_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_attribution.attribute(table(spark, sf_dir, "documents"), ["source", "text"])
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = (table(spark, sf_dir, n) for n in ("documents", "labels"))
     return rule_thresholds.judge(documents, labels).drop("rejected_by")
@@ -56,12 +66,26 @@ QUERIES: dict[str, Query] = {
         op2_compression_classifier,
         op3_pii_candidate_boosting,
         op4_simhash_partitions,
+        op5_warc_sharded_writer,
         op6_benchmark_decontamination,
+        op8_token_attribution,
         op9_quality_rules,
         op10_poisson_mixing,
     )
 } | {"pipeline": corpus_pipeline.run}
 
+OP5_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+f AS (SELECT page_id, h, sha1(h) AS s, min(page_id) OVER (PARTITION BY h) AS first FROM p),
+c AS (SELECT *, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567' AS a,
+  list_transform(range(0, 8), lambda i: ('0x' || substr(s, i * 5 + 1, 5))::BIGINT) AS v FROM f)
+SELECT page_id, strlen(h)::BIGINT AS payload_bytes,
+  array_to_string(list_transform(v, lambda x: a[(x >> 15) % 32 + 1] || a[(x >> 10) % 32 + 1]
+    || a[(x >> 5) % 32 + 1] || a[x % 32 + 1]), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM c"""
+
 OP6_SQL = r"""
 WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -101,6 +125,7 @@ SELECT doc_id, text, lang, source, n_chars, k::INTEGER AS copy,
 FROM (SELECT *, unnest(range(0, n)) AS k FROM d)"""
 
 ORACLES: dict[str, str] = {
+    "op5_warc_sharded_writer": OP5_SQL,
     "op6_benchmark_decontamination": OP6_SQL,
     "op10_poisson_mixing": OP10_SQL,
 }
