@@ -14,6 +14,7 @@ from tidegate.llm import (
     poisson_mix,
     rule_thresholds,
     simhash_partitions,
+    substring_dedup,
     token_attribution,
     warc_shards,
 )
@@ -47,6 +48,10 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.contamination(documents, benchmark).drop("hit_at")
 
 
+def op7_substring_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicate(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op8_token_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_attribution.attribute(table(spark, sf_dir, "documents"), ["source", "text"])
 
@@ -68,6 +73,7 @@ QUERIES: dict[str, Query] = {
         op4_simhash_partitions,
         op5_warc_sharded_writer,
         op6_benchmark_decontamination,
+        op7_substring_automata,
         op8_token_attribution,
         op9_quality_rules,
         op10_poisson_mixing,
@@ -110,6 +116,20 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)"""
 
+OP7_SQL = r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''),
+    '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+f AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) AS first FROM win),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM f WHERE first < doc_id),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS k, count(*) AS n
+  FROM (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d)
+  ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(k, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
 OP10_SQL = """
 WITH s AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 r AS (SELECT source, (sum(n) OVER ())::DOUBLE * pow(n, 0.5) / sum(pow(n, 0.5)) OVER () / n AS rate FROM s),
@@ -127,5 +147,6 @@ FROM (SELECT *, unnest(range(0, n)) AS k FROM d)"""
 ORACLES: dict[str, str] = {
     "op5_warc_sharded_writer": OP5_SQL,
     "op6_benchmark_decontamination": OP6_SQL,
+    "op7_substring_automata": OP7_SQL,
     "op10_poisson_mixing": OP10_SQL,
 }
