@@ -10,6 +10,7 @@ import corpus_pipeline
 from tidegate.llm import (
     compress_quality,
     decontaminate,
+    html_templates,
     pii_boost,
     poisson_mix,
     rule_thresholds,
@@ -26,6 +27,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_template_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_templates.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = (table(spark, sf_dir, n) for n in ("documents", "labels"))
     return compress_quality.classify(documents, labels)
@@ -68,6 +73,7 @@ def op10_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_html_template_classes,
         op2_compression_classifier,
         op3_pii_candidate_boosting,
         op4_simhash_partitions,
