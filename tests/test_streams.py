@@ -119,7 +119,7 @@ def test_text_job_keeps_lines_as_they_were(spark, tmp_path):
         lines = spark.readStream.text(f"{tmp_path}/in")
         finish(on_time_to_text(lines, f"{tmp_path}/out", f"{tmp_path}/check", trigger=NOW))
     for route in ("on_time", "late", "malformed"):
-        kept = spark.read.text(f"{tmp_path}/out/batch_id=*/route={route}")
+        kept = spark.read.text(f"{tmp_path}/out/span=*/batch_id=*/route={route}")
         expected = [value for _, was, value in ROUTES if was == route]
         assert sorted(row.value for row in kept.collect()) == sorted(expected)
 
@@ -134,7 +134,7 @@ def test_text_job_waits_for_the_slowest_partition(spark, tmp_path):
                 lines, f"{tmp_path}/out", f"{tmp_path}/check", idle_ms=None, trigger=NOW
             )
         )
-    late = spark.read.text(f"{tmp_path}/out/batch_id=*/route=late").collect()
+    late = spark.read.text(f"{tmp_path}/out/span=*/batch_id=*/route=late").collect()
     assert [row.value for row in late] == [line(46, "0")]
 
 
@@ -246,7 +246,9 @@ def test_buffer_gives_back_every_late_record(spark, tmp_path):
     schema = "item STRING, value STRING, late BOOLEAN"
     spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/in")
     stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
-    held = hold_late_records(stream, slots=4, fast_ms=1000, regular_ms=2000)
+    held = hold_late_records(
+        stream, place_cols=["value", "item"], slots=4, fast_ms=1000, regular_ms=2000
+    )
     held = held.observe("expired", F.count(F.lit(1)).alias("rows"))
     before = {name: spark.conf.get(name, None) for name in ROCKSDB_STATE}
     with rocksdb_state(spark):

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tidegate.columns import named
+
 CHUNK = 1 << 16
 LEVELS = 2
 
@@ -35,8 +37,8 @@ def flag_late(
     of at most ``chunk``, however many of them one source holds.
     """
     replayed = with_earlier_top(df, source_col, offset_col, time_col, chunk, LEVELS)
-    late = is_late(F.col(time_col), F.col("__earlier"), bound_ms)
-    return replayed.withColumn("late", late).select(*df.columns, "late")
+    late = is_late(named(time_col), F.col("__earlier"), bound_ms)
+    return replayed.withColumn("late", late).select(*[named(c) for c in df.columns], "late")
 
 
 def with_earlier_top(
@@ -50,22 +52,23 @@ def with_earlier_top(
     over one row per range, found the same way one level up; at the last level there
     is one row left for every ``chunk ** levels`` places.
     """
+    source, place, moment = (named(c) for c in (source_col, place_col, time_col))
     if levels == 0:
-        earlier = Window.partitionBy(source_col).orderBy(place_col)
-        return rows.withColumn("__earlier", _top_before(time_col, earlier))
+        return rows.withColumn("__earlier", _top_before(moment, Window.partitionBy(source).orderBy(place)))
     range_col = f"__range{levels}"
-    cut = F.expr(f"`{place_col}` DIV {chunk}").alias(range_col)
-    ranges = rows.groupBy(source_col, cut).agg(F.max(time_col).alias(time_col))
+    quoted = place_col.replace("`", "``")
+    cut = F.expr(f"`{quoted}` DIV {chunk}").alias(range_col)
+    ranges = rows.groupBy(source, cut).agg(F.max(moment).alias(time_col))
     seeds = with_earlier_top(ranges, source_col, range_col, time_col, chunk, levels - 1).select(
-        source_col, range_col, F.col("__earlier").alias(time_col), F.lit(False).alias("__row")
+        source, range_col, F.col("__earlier").alias(time_col), F.lit(False).alias("__row")
     )
     led = rows.select("*", cut, F.lit(True).alias("__row")).unionByName(
         seeds, allowMissingColumns=True
     )
-    earlier = Window.partitionBy(source_col, range_col).orderBy("__row", place_col)
-    led = led.withColumn("__earlier", _top_before(time_col, earlier)).where("__row")
+    earlier = Window.partitionBy(source, range_col).orderBy(F.col("__row"), place)
+    led = led.withColumn("__earlier", _top_before(moment, earlier)).where("__row")
     return led.drop(range_col, "__row")
 
 
-def _top_before(time_col: str, ordered: WindowSpec) -> Column:
-    return F.max(time_col).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+def _top_before(moment: Column, ordered: WindowSpec) -> Column:
+    return F.max(moment).over(ordered.rowsBetween(Window.unboundedPreceding, -1))

@@ -25,7 +25,7 @@ NULLS = "null_validation"
 class ValidationResult:
     """What one check found; ``record_level`` is empty when the data is clean."""
 
-    vald_type: str
+    kind: str
     dataset_level: DataFrame
     record_level: DataFrame
 
@@ -48,12 +48,12 @@ class ValidationSuite:
 
 def validate(
     df: DataFrame,
-    vald_types: list[str],
+    kinds: list[str],
     primary_key_cols: list[str] | None = None,
     non_nullable_cols: list[str] | None = None,
 ) -> ValidationSuite:
-    """Plan the checks in ``vald_types``; nothing runs until a frame is used."""
-    _check_arguments(vald_types, primary_key_cols, non_nullable_cols)
+    """Plan the checks in ``kinds``; nothing runs until a frame is used."""
+    _check_arguments(kinds, primary_key_cols, non_nullable_cols)
     run_ts = F.lit(datetime.now())
     records = {
         PRIMARY_KEY: lambda: duplicate_keys(df, primary_key_cols, run_ts),
@@ -65,9 +65,9 @@ def validate(
             summary(df, [kind], primary_key_cols, non_nullable_cols, run_ts),
             records[kind](),
         )
-        for kind in vald_types
+        for kind in kinds
     }
-    together = summary(df, vald_types, primary_key_cols, non_nullable_cols, run_ts)
+    together = summary(df, kinds, primary_key_cols, non_nullable_cols, run_ts)
     return ValidationSuite(together, results)
 
 
@@ -90,14 +90,14 @@ def null_rows(
 
 def summary(
     df: DataFrame,
-    vald_types: list[str],
+    kinds: list[str],
     keys: list[str] | None = None,
     required: list[str] | None = None,
     run_ts: Column | None = None,
 ) -> DataFrame:
     """One dataset-level row for each check, all from a single pass over ``df``."""
-    missing = F.count_if(any_null(required)) if NULLS in vald_types else F.lit(0)
-    if PRIMARY_KEY in vald_types:
+    missing = F.count_if(any_null(required)) if NULLS in kinds else F.lit(0)
+    if PRIMARY_KEY in kinds:
         totals = _rows_per_key(df, keys, missing.alias("__missing")).agg(
             F.sum("__rows").alias("rows"),
             F.sum(F.when(F.col("__rows") > 1, F.col("__rows"))).alias(PRIMARY_KEY),
@@ -106,7 +106,7 @@ def summary(
     else:
         totals = df.agg(F.count(F.lit(1)).alias("rows"), missing.alias(NULLS))
     return totals.select(
-        F.inline(F.array(*[_dataset_level(kind, run_ts) for kind in vald_types]))
+        F.inline(F.array(*[_dataset_level(kind, run_ts) for kind in kinds]))
     )
 
 

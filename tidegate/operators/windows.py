@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegate.columns import named
+
 
 def tumbling_aggregate(
     df: DataFrame,
@@ -23,19 +25,20 @@ def tumbling_aggregate(
     the watermark has no effect and every group comes out.
     """
     grouped = (
-        df.withWatermark(time_col, watermark)
-        .groupBy(F.window(time_col, window), group_col)
+        df.withColumnRenamed(time_col, "__time")
+        .withWatermark("__time", watermark)
+        .groupBy(F.window("__time", window), named(group_col).alias("__group"))
         .agg(
-            F.count(item_col).alias("item_count"),
-            F.approx_count_distinct(item_col).alias("distinct_item_count"),
-            F.min(price_col).alias("min_price_observed"),
-            F.max(price_col).alias("max_price_observed"),
+            F.count(named(item_col)).alias("item_count"),
+            F.approx_count_distinct(named(item_col)).alias("distinct_item_count"),
+            F.min(named(price_col)).alias("min_price_observed"),
+            F.max(named(price_col)).alias("max_price_observed"),
         )
     )
     return grouped.select(
         F.col("window.start").cast("string").alias("window_start"),
         F.col("window.end").cast("string").alias("window_end"),
-        group_col,
+        F.col("__group").alias(group_col),
         "item_count",
         "distinct_item_count",
         "min_price_observed",

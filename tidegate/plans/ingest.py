@@ -5,11 +5,14 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
+from tidegate.columns import any_null
 from tidegate.errors import IngestError
 from tidegate.operators.validation import NULLS, PRIMARY_KEY, ValidationSuite, validate
 from tidegate.plans.connectors import connector
@@ -21,12 +24,17 @@ logger = logging.getLogger(__name__)
 
 @dataclass(frozen=True)
 class IngestResult:
-    """What a job did; ``passed`` has one entry for each check that was run."""
+    """What a job did.
+
+    ``passed`` has one entry for each check that was run, and so has ``counts``: the
+    dataset's rows, and how many of them are in error.
+    """
 
     dataset: str | None
     df: DataFrame
     suite: ValidationSuite | None
     passed: dict[str, bool]
+    counts: dict[str, tuple[int, int]] = field(default_factory=dict)
 
 
 def ingest(
@@ -39,24 +47,45 @@ def ingest(
     """Run one job: ``spec`` has ``src`` and ``target``, ``checks`` has ``req_validations``.
 
     Checks are advisory: a failed one is logged and returned, and all rows are
-    loaded. The two passes over the source are one over the columns the checks need
-    and one for the load. Keys in error stay in the returned lazy frames; they are
-    never brought to the driver.
+    loaded. Rows are counted, and nulls looked for, while they are loaded; only the key
+    check has a pass of its own, over the key columns. Keys in error are never brought to
+    the driver: they stay in the suite's lazy frames, and where ``checks`` has a
+    ``record_level_target`` (the spec of a sink) executors write them there.
     """
     if "extraction" not in phases or "load" not in phases:
         raise ValueError("A job without extraction or load moves nothing: list both phases")
     source, sink = connector("source", spec["src"]), connector("sink", spec["target"])
     dataset = spec["src"].get("dataset_name")
     df = source.read(spark, connections)
-    suite, passed = None, {}
-    if "validation" in phases:
-        suite = plan_checks(df, checks)
-        passed = suite.passed()
-        for kind, good in passed.items():
-            level = logging.INFO if good else logging.WARNING
-            logger.log(level, "%s of %s: %s", kind, dataset, "passed" if good else "failed")
-    sink.write(df, connections)
-    return IngestResult(dataset, df, suite, passed)
+    if "validation" not in phases:
+        sink.write(df, connections)
+        return IngestResult(dataset, df, None, {})
+    suite, required = plan_checks(df, checks), checks["req_validations"]
+    seen = Observation()
+    missing = any_null(required[NULLS]["cols_to_check"]) if NULLS in required else F.lit(False)
+    sink.write(
+        df.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(missing).alias(NULLS)),
+        connections,
+    )
+    loaded = seen.get
+    counts = {}
+    for kind in suite.results:
+        if kind == NULLS:
+            counts[kind] = (loaded["rows"], loaded[NULLS])
+        else:
+            row = suite.results[kind].dataset_level.first()
+            counts[kind] = (row["total_records"], row["error_records"])
+        total, errors = counts[kind]
+        level = logging.WARNING if errors else logging.INFO
+        said = "failed" if errors else "passed"
+        logger.log(level, "%s of %s: %s, %d of %d rows in error", kind, dataset, said, errors, total)
+    if "record_level_target" in checks:
+        frames = [result.record_level for result in suite.results.values()]
+        connector("sink", checks["record_level_target"]).write(
+            reduce(DataFrame.unionByName, frames), connections
+        )
+    passed = {kind: errors == 0 for kind, (_, errors) in counts.items()}
+    return IngestResult(dataset, df, suite, passed, counts)
 
 
 def plan_checks(df: DataFrame, checks: Mapping[str, Mapping] | None) -> ValidationSuite:

@@ -12,7 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidegate.functions import decode_avro, parse_delimited, strip_wire_header
 from tidegate.operators import tumbling_aggregate
-from tidegate.streaming import split_late_stream, write_windows_csv
+from tidegate.streaming import rocksdb_state, split_late_stream, write_windows_csv
+from tidegate.streaming.writers import FILES_PER_PARTITION
 
 
 def decode_messages(messages: DataFrame, schema: str, mode: str = "FAILFAST") -> DataFrame:
@@ -32,18 +33,20 @@ def windows_to_csv(
     window: str = "10 seconds",
     watermark: str = "5 seconds",
     mode: str = "FAILFAST",
-    files_per_partition: int | None = None,
+    files_per_partition: int | None = FILES_PER_PARTITION,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Avro messages to CSV rows per window and retailer, in folders by window start.
 
     With ``mode='PERMISSIVE'`` unreadable messages belong to no window and are left out.
+    Window state is kept in RocksDB, off the JVM heap.
     """
     records = decode_messages(messages, schema, mode)
     windows = tumbling_aggregate(records, window=window, watermark=watermark)
-    return write_windows_csv(
-        windows, path, checkpoint, files_per_partition=files_per_partition, trigger=trigger
-    )
+    with rocksdb_state(messages.sparkSession):
+        return write_windows_csv(
+            windows, path, checkpoint, files_per_partition=files_per_partition, trigger=trigger
+        )
 
 
 def on_time_to_text(

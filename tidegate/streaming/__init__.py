@@ -1,9 +1,11 @@
 from tidegate.streaming.late_buffer import hold_late_records, rocksdb_state
-from tidegate.streaming.late_split import split_late_stream
+from tidegate.streaming.late_split import merge_spans, read_spans, split_late_stream
 from tidegate.streaming.writers import write_text_stream, write_windows_csv
 
 __all__ = [
     "hold_late_records",
+    "merge_spans",
+    "read_spans",
     "rocksdb_state",
     "split_late_stream",
     "write_text_stream",

@@ -14,16 +14,20 @@ from contextlib import contextmanager
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext, cloudpickle
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tidegate.columns import named
+
 # Workers get the processor below with the task, so they need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 FAST_MS = 5_000
 REGULAR_MS = 30_000
+#: Buffers of an item whose rows have a stable place to be dealt by.
+SLOTS = 8
 OUTPUT = "item STRING, value STRING"
 # Spark's settings for state on disk, with changes uploaded batch by batch.
 ROCKSDB_STATE = {
@@ -69,7 +73,11 @@ def next_expiry(
 
 
 class LateBuffer(StatefulProcessor):
-    """One buffer per key and slot; emits what it held when it expires."""
+    """One buffer per key and slot; emits what it held when it expires.
+
+    Only a buffer that holds rows has a timer. On-time records leave the time at which
+    they would let a buffer expire, and that is forgotten by itself when it has passed.
+    """
 
     def __init__(self, fast_ms: int = FAST_MS, regular_ms: int = REGULAR_MS):
         self.fast_ms = fast_ms
@@ -79,6 +87,7 @@ class LateBuffer(StatefulProcessor):
         self.handle = handle
         self.held = handle.getListState("held", "values ARRAY<STRING>")
         self.expiry = handle.getValueState("expiry", "at LONG")
+        self.regular = handle.getValueState("regular", "at LONG", self.regular_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         any_late = False
@@ -87,13 +96,18 @@ class LateBuffer(StatefulProcessor):
             if len(late):
                 any_late = True
                 self.held.appendValue((late.tolist(),))
-        kept = self.expiry.get() if self.expiry.exists() else None
-        current = None if kept is None else int(kept[0])
         now = timerValues.getCurrentProcessingTimeInMs()
+        timer = int(self.expiry.get()[0]) if self.expiry.exists() else None
+        current = timer
+        if timer is None and self.regular.exists() and int(self.regular.get()[0]) > now:
+            current = int(self.regular.get()[0])
         expiry = next_expiry(now, current, any_late, self.fast_ms, self.regular_ms)
-        if expiry != current:
-            if current is not None:
-                self.handle.deleteTimer(current)
+        if not any_late and timer is None:
+            if current is None:
+                self.regular.update((expiry,))
+        elif expiry != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
             self.handle.registerTimer(expiry)
             self.expiry.update((expiry,))
         yield from ()
@@ -103,28 +117,31 @@ class LateBuffer(StatefulProcessor):
             yield pd.DataFrame({"item": key[0], "value": list(values)})
         self.held.clear()
         self.expiry.clear()
+        self.regular.clear()
 
     def close(self) -> None:
         pass
 
 
-def place_in_slots(
-    batches: Iterator[pa.RecordBatch], slots: int
-) -> Iterator[pa.RecordBatch]:
-    """All late rows of an Arrow batch and one mark per item with on-time rows, in one slot.
+def marks_for_slots(batches: Iterator[pa.RecordBatch], slots: int) -> Iterator[pa.RecordBatch]:
+    """Late rows as they are; of on-time rows one mark per item, Arrow batch and slot.
 
-    Batches take the slots in turn, each task from another one on. A repeated task
-    gives the same slots, as it gets the same batches.
+    How rows fall into batches changes only how often a mark is repeated, and repeats
+    have no effect.
     """
-    first = TaskContext.get().partitionId()
-    for number, batch in enumerate(batches):
+    for batch in batches:
         rows = pa.Table.from_batches([batch])
         late = rows["late"]
-        marks = rows.filter(pc.invert(late)).group_by("item").aggregate([])
-        marks = marks.append_column("late", pa.array([False] * len(marks), pa.bool_()))
-        kept = pa.concat_tables([rows.filter(late), marks], promote_options="default")
-        slot = pa.array([(first + number) % slots] * len(kept), pa.int32())
-        yield from kept.append_column("slot", slot).to_batches()
+        items = rows.filter(pc.invert(late)).group_by("item").aggregate([])["item"].to_pylist()
+        marks = pa.table(
+            {
+                "item": pa.array([i for i in items for _ in range(slots)], pa.string()),
+                "late": pa.array([False] * (len(items) * slots), pa.bool_()),
+                "value": pa.nulls(len(items) * slots, pa.string()),
+                "slot": pa.array(list(range(slots)) * len(items), pa.int32()),
+            }
+        )
+        yield from pa.concat_tables([rows.filter(late), marks], promote_options="permissive").to_batches()
 
 
 def hold_late_records(
@@ -132,30 +149,38 @@ def hold_late_records(
     item_col: str = "item",
     value_col: str = "value",
     late_col: str = "late",
+    place_cols: list[str] | None = None,
     slots: int | None = None,
     fast_ms: int = FAST_MS,
     regular_ms: int = REGULAR_MS,
 ) -> DataFrame:
     """Buffer the late rows of ``flagged`` by item; each comes out when it expires.
 
-    The rows of an item are spread over ``slots`` buffers, as one item, or copies of
-    one row, may make up a large part of the stream; by default there are as many as
-    shuffle partitions, so any item can use all of them. Every buffer follows the
-    expiry rule on its own rows; ``slots=1`` gives one buffer per item. Of on-time
-    rows only the arrival matters, so they shrink to marks before the shuffle. Bound
-    the source's intake per trigger: a buffer holds what came in within an expiry.
+    One item, or copies of one row, may make up a large part of the stream. Name the
+    columns that place a row in its source (a topic's partition and offset) and the late
+    rows of an item are spread over ``slots`` buffers by a hash of them, ``SLOTS`` by
+    default: a repeated task then puts each row where it was. Without ``place_cols``
+    an item has one buffer. The expiry rule does not depend on the number: of on-time
+    rows only the arrival matters, so they shrink to marks before the shuffle, and each
+    slot gets them. An item with on-time rows only keeps one number in each slot, and no
+    timer. Bound the source's intake per trigger: a buffer holds what came in within
+    an expiry.
     """
     if slots is None:
-        slots = int(flagged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    late = F.coalesce(F.col(late_col), F.lit(False))
+        slots = SLOTS if place_cols else 1
+    if slots > 1 and not place_cols:
+        raise ValueError("Several slots need place_cols, or a repeated task could lose rows")
+    late = F.coalesce(named(late_col), F.lit(False))
+    slot = F.pmod(F.xxhash64(*[named(c) for c in place_cols]), F.lit(slots)) if slots > 1 else F.lit(0)
     rows = flagged.select(
-        F.col(item_col).alias("item"),
+        named(item_col).cast("string").alias("item"),
         late.alias("late"),
-        F.when(late, F.col(value_col)).alias("value"),
+        F.when(late, named(value_col).cast("string")).alias("value"),
+        slot.cast("int").alias("slot"),
     )
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return place_in_slots(batches, slots)
+        return marks_for_slots(batches, slots)
 
     placed = rows.mapInArrow(place, "item STRING, late BOOLEAN, value STRING, slot INT")
     return placed.groupBy("item", "slot").transformWithStateInPandas(

@@ -9,7 +9,9 @@ millisecond. On-time, late and malformed rows are written in one job.
 from __future__ import annotations
 
 import time
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,6 +22,8 @@ from tidegate.streaming.writers import TRIGGER
 
 ON_TIME, LATE, MALFORMED = "on_time", "late", "malformed"
 ROUTES = 3
+#: So many batches lie in one folder ``span=<batch_id // SPAN>``.
+SPAN = 1000
 REACHED = "batch_id LONG, micros LONG"
 SOURCES = "source STRING, micros LONG, seen_ms LONG"
 
@@ -35,8 +39,9 @@ def split_late_stream(
     file_type: str = "parquet",
     columns: list[str] | None = None,
     trigger: dict | None = None,
+    forget_ms: int | None = None,
 ) -> StreamingQuery:
-    """Write every row under ``path/batch_id=<n>/route=<on_time|late|malformed>``.
+    """Write every row under ``path/span=<n // SPAN>/batch_id=<n>/route=<on_time|late|malformed>``.
 
     Each batch overwrites its own folder and the event time it starts from is kept
     under the checkpoint, so a batch that is run again after a failure splits the
@@ -48,7 +53,11 @@ def split_late_stream(
     observes, so a batch is read once. With ``source_col`` (a topic's partition) it is
     the one the slowest source has reached; a source that brought nothing for
     ``idle_ms`` is not waited for, and ``None`` waits for every source seen so far.
-    Batches are then held on the executors for the second job, one row per source.
+    Batches are then held on the executors for the second job, one row per source. A
+    source that brought nothing for ``forget_ms`` is dropped from the state, as if it
+    had never come; by default none is.
+
+    ``merge_spans`` brings the small files of spans that are over into large ones.
     """
     spark = rows.sparkSession
     state = f"{checkpoint.rstrip('/')}/event-time"
@@ -74,7 +83,7 @@ def split_late_stream(
                 tops = batch.groupBy(named(source_col).cast("string").alias("source")).agg(
                     F.max(F.unix_micros(time_col)).alias("micros")
                 )
-                newest = slowest_source(spark, state, batch_id, tops, idle_ms)
+                newest = slowest_source(spark, state, batch_id, tops, idle_ms, forget_ms)
             finally:
                 batch.unpersist()
         reached = max((m for m in (reached, newest) if m is not None), default=None)
@@ -88,7 +97,7 @@ def split_late_stream(
         if columns is not None:
             routed = routed.select(*columns, "route")
         writer = routed.write.mode("overwrite").partitionBy("route").format(file_type)
-        writer.save(f"{path.rstrip('/')}/batch_id={batch_id}")
+        writer.save(f"{path.rstrip('/')}/span={batch_id // SPAN}/batch_id={batch_id}")
         return seen.get["micros"]
 
     writer = rows.writeStream.foreachBatch(split).option("checkpointLocation", checkpoint)
@@ -118,7 +127,12 @@ def keep_reached(spark: SparkSession, state: str, batch_id: int, micros: int | N
 
 
 def slowest_source(
-    spark: SparkSession, state: str, batch_id: int, tops: DataFrame, idle_ms: int | None
+    spark: SparkSession,
+    state: str,
+    batch_id: int,
+    tops: DataFrame,
+    idle_ms: int | None,
+    forget_ms: int | None = None,
 ) -> int | None:
     """Keep how far each source has come with ``batch_id``; give the least of the active."""
     now_ms = int(time.time() * 1000)
@@ -127,15 +141,72 @@ def slowest_source(
         known = known.unionByName(
             spark.read.schema(SOURCES).json(_slot(state, "sources", batch_id - 1))
         )
-    slot = _slot(state, "sources", batch_id)
     merged = known.groupBy("source").agg(
         F.max("micros").alias("micros"), F.max("seen_ms").alias("seen_ms")
     )
-    merged.coalesce(1).write.mode("overwrite").json(slot)
-    active = spark.read.schema(SOURCES).json(slot)
-    if idle_ms is not None:
-        active = active.where(F.col("seen_ms") >= now_ms - idle_ms)
-    return active.agg(F.min("micros")).first()[0]
+    if forget_ms is not None:
+        merged = merged.where(F.col("seen_ms") >= now_ms - forget_ms)
+    active = F.lit(True) if idle_ms is None else F.col("seen_ms") >= now_ms - idle_ms
+    seen = Observation()
+    observed = merged.observe(seen, F.min(F.when(active, F.col("micros"))).alias("micros"))
+    observed.coalesce(1).write.mode("overwrite").json(_slot(state, "sources", batch_id))
+    return seen.get["micros"]
+
+
+def merge_spans(
+    spark: SparkSession, path: str, archive: str, before_batch: int, schema: str, file_type: str = "parquet"
+) -> list[int]:
+    """Copy the spans that ended before ``before_batch`` into large files under ``archive``.
+
+    ``schema`` is that of the written rows with batch_id and route. A span is entered in
+    the archive's list only when its copy is complete, and copied anew until then, so a
+    stop midway loses nothing: ``read_spans`` goes by the list. Give the id of a batch
+    that has been committed. The small files are left to the storage's own expiry.
+    Returns the spans copied now.
+    """
+    done = set(merged_spans(spark, archive))
+    copied = []
+    for span in range(before_batch // SPAN):
+        if span in done:
+            continue
+        rows = _routed(spark, f"{path.rstrip('/')}/span={span}", schema, file_type)
+        target = f"{archive.rstrip('/')}/rows/span={span}"
+        large = rows.hint("rebalance", "route")
+        large.write.mode("overwrite").partitionBy("route").format("parquet").save(target)
+        entry = spark.range(0, 1, 1, 1).select(F.lit(span).alias("span"))
+        entry.write.mode("append").json(f"{archive.rstrip('/')}/spans")
+        copied.append(span)
+    return copied
+
+
+def merged_spans(spark: SparkSession, archive: str) -> list[int]:
+    """The spans whose copies are complete."""
+    try:
+        listed = spark.read.schema("span INT").json(f"{archive.rstrip('/')}/spans")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return sorted(row["span"] for row in listed.distinct().collect())
+
+
+def read_spans(
+    spark: SparkSession, path: str, archive: str, last_batch: int, schema: str, file_type: str = "parquet"
+) -> DataFrame:
+    """All routed rows up to ``last_batch``: merged spans from the archive, others as written."""
+    done = set(merged_spans(spark, archive))
+    names = [c.split()[0] for c in schema.split(", ")]
+    parts = [
+        _routed(spark, f"{archive.rstrip('/')}/rows/span={span}", schema, "parquet")
+        if span in done
+        else _routed(spark, f"{path.rstrip('/')}/span={span}", schema, file_type)
+        for span in range(last_batch // SPAN + 1)
+    ]
+    return reduce(DataFrame.unionByName, [part.select(*names) for part in parts])
+
+
+def _routed(spark: SparkSession, folder: str, schema: str, file_type: str) -> DataFrame:
+    return spark.read.schema(schema).format(file_type).load(folder)
 
 
 def _slot(state: str, kind: str, batch_id: int) -> str:

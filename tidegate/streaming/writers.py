@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidegate.columns import named
 
+FILES_PER_PARTITION = 4
 TRIGGER = {"processingTime": "500 milliseconds"}
 
 
@@ -16,16 +17,16 @@ def write_windows_csv(
     path: str,
     checkpoint: str,
     partition_by: tuple[str, ...] = ("window_start",),
-    files_per_partition: int | None = None,
+    files_per_partition: int | None = FILES_PER_PARTITION,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Append finished windows to CSV, one folder for each value of ``partition_by``.
 
-    The groups of a window lie in all shuffle partitions, and each of those leaves a
-    file in the folder. Where a window has few groups these files are tiny: give
-    ``files_per_partition``, and the rows of a folder are brought into that many tasks
-    before the write. Pass no ``partition_by`` for one flat folder, as short windows
-    make very many.
+    The groups of a window lie in all shuffle partitions, and each of those would leave
+    a file in the folder. So a batch's rows of a folder are brought into
+    ``files_per_partition`` tasks before the write, each of which leaves one file at most.
+    ``None`` leaves them spread, for windows with very many groups. Pass no
+    ``partition_by`` for one flat folder, as short windows make very many.
     """
     if partition_by and files_per_partition:
         others = [c for c in windows.columns if c not in partition_by]
