@@ -138,6 +138,40 @@ def test_table_is_read_in_ranges(spark):
         read_table(spark, connection, None, "numbers", {"partitionColumn": "part"})
 
 
+@pytest.mark.parametrize(
+    "column",
+    ["id", "CAST(id AS DECIMAL(10,2)) / 4", "id / 4D", "DATE '2020-01-01' + CAST(id AS INT)",
+     "TIMESTAMP '2020-01-01 10:30:00' + make_dt_interval(0, CAST(id AS INT))"],
+)
+def test_ranges_over_every_kind_of_column(spark, column):
+    connection = {
+        "url": f"jdbc:derby:memory:t{uuid4().hex};create=true",
+        "driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver",
+    }
+    rows = spark.range(100).selectExpr("id", f"{column} AS part")
+    if rows.schema["part"].dataType.typeName() == "decimal":
+        rows = rows.withColumn("part", F.col("part").cast("decimal(10,2)"))
+    write_table(rows, connection, None, "numbers")
+    ranges = {"partitionColumn": "part", "numPartitions": 4}
+    stored = read_table(spark, connection, None, "numbers", ranges)
+    assert stored.rdd.getNumPartitions() == 4
+    assert sorted(row.id for row in stored.collect()) == list(range(100))
+    assert max(len(p) for p in stored.rdd.glom().collect()) <= 50
+
+
+def test_a_given_bound_is_kept_and_lone_partitions_warn(spark, caplog):
+    connection = {
+        "url": f"jdbc:derby:memory:t{uuid4().hex};create=true",
+        "driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver",
+    }
+    write_table(spark.range(100), connection, None, "numbers")
+    given = {"partitionColumn": "id", "numPartitions": 4, "lowerBound": 80}
+    sizes = [len(p) for p in read_table(spark, connection, None, "numbers", given).rdd.glom().collect()]
+    assert sum(sizes) == 100 and sizes[0] > 80
+    assert read_table(spark, connection, None, "numbers", {"numPartitions": 4}).count() == 100
+    assert "numbers is read in one task" in caplog.text
+
+
 def test_topic_options():
     assert topic_options("a:1,b:2", "t") == {
         "kafka.bootstrap.servers": "a:1,b:2",

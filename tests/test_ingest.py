@@ -1,5 +1,7 @@
 """Ingestion jobs on small files."""
 
+import sys
+
 import pytest
 
 from tidegate.errors import IngestError
@@ -8,6 +10,7 @@ from tidegate.plans import ingest, ingest_all
 from tidegate.workspace import fresh_folder
 from tidegate_queries.jobs import both_checks, file_job
 
+ingest_module = sys.modules["tidegate.plans.ingest"]
 SCHEMA = "product_id INT, item STRING, quantity INT"
 ROWS = [(1, "a", 1), (1, "b", 2), (2, None, 3)]
 
@@ -76,3 +79,39 @@ def test_folders_are_fresh_and_under_the_shared_one(spark, monkeypatch, tmp_path
     assert first != second
     if shared:
         assert first.startswith(shared)
+
+
+def test_counts_and_bad_keys_are_kept(spark, tmp_path, job):
+    checks = both_checks(["product_id"], ["item", "quantity"])
+    checks["record_level_target"] = {
+        "connector_type": "local_file", "file_type": "json", "file_path": f"{tmp_path}/bad",
+        "write_mode": "overwrite", "write_props": {},
+    }
+    result = ingest(spark, job, checks)
+    assert result.counts == {PRIMARY_KEY: (3, 2), NULLS: (3, 1)}
+    bad = spark.read.json(f"{tmp_path}/bad").collect()
+    assert sorted((r.validation_type, r.observed_record_pk) for r in bad) == [
+        (NULLS, '{"product_id":2}'),
+        (PRIMARY_KEY, '{"product_id":1}'),
+    ]
+
+
+def test_a_null_check_reads_its_source_once(spark, tmp_path, job):
+    reads = spark.sparkContext.accumulator(0)
+    rows = spark.read.schema(SCHEMA).parquet(f"{tmp_path}/dataset1.parquet")
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    class Source:
+        def read(self, *_):
+            return rows.mapInArrow(counted, rows.schema)
+
+    real = ingest_module.connector
+    nulls = {"primary_key_cols": ["product_id"], "req_validations": {NULLS: {"cols_to_check": ["item"]}}}
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(ingest_module, "connector", lambda d, s: Source() if d == "source" else real(d, s))
+        assert ingest(spark, job, nulls).counts == {NULLS: (3, 1)}
+    assert reads.value == 3 and loaded(spark, tmp_path) == 3

@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidegate.functions import parse_delimited
-from tidegate.operators import tumbling_aggregate
-from tidegate.plans import on_time_to_text
+from tidegate.functions.avro import CONSUMER_GOOD
+from tidegate.operators import flag_late, tumbling_aggregate
+from tidegate.plans import on_time_to_text, windows_to_csv
 from tidegate.streaming import (
     hold_late_records,
     late_split,
@@ -18,6 +19,7 @@ from tidegate.streaming import (
 )
 from tidegate.streaming.late_buffer import OUTPUT, ROCKSDB_STATE, next_expiry
 from tidegate_queries.late import ROUTED, drain
+from tidegate_queries.streams import windows_with_late_rows
 
 NOW = {"availableNow": True}
 START = dt.datetime(2024, 1, 1)
@@ -262,3 +264,110 @@ def test_buffer_gives_back_every_late_record(spark, tmp_path):
     drain(query, sum(late is True for _, _, late in rows))
     got = spark.read.schema(OUTPUT).parquet(f"{tmp_path}/out").collect()
     assert sorted((r.item, r.value) for r in got) == sorted((i, v) for i, v, late in rows if late)
+
+
+@pytest.mark.parametrize("slots", [1, 6])
+def test_buffers_follow_one_rule_whatever_the_slots(spark, tmp_path, slots):
+    """An on-time record's deadline releases late rows in all slots before their own would."""
+    schema = "item STRING, value STRING, late BOOLEAN"
+
+    def add(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+
+    add([("a", None, False)])
+    stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+    held = hold_late_records(
+        stream, place_cols=["value"], slots=slots, fast_ms=600_000, regular_ms=8_000
+    ).observe("expired", F.count(F.lit(1)).alias("rows"))
+    with rocksdb_state(spark):
+        query = (
+            held.writeStream.format("parquet")
+            .options(path=f"{tmp_path}/out", checkpointLocation=f"{tmp_path}/check")
+            .trigger(processingTime="500 milliseconds")
+            .start()
+        )
+    while not query.recentProgress or not any(p.numInputRows for p in query.recentProgress):
+        assert not query.awaitTermination(1)
+    add([("a", f"line {n}", True) for n in range(20)])
+    drain(query, 20)  # with the rule of each slot alone this would take ten minutes
+    got = spark.read.schema(OUTPUT).parquet(f"{tmp_path}/out").collect()
+    assert sorted(r.value for r in got) == sorted(f"line {n}" for n in range(20))
+
+
+def test_several_slots_need_a_place(spark):
+    flagged = spark.createDataFrame([("a", "b", True)], "item STRING, value STRING, late BOOLEAN")
+    with pytest.raises(ValueError):
+        hold_late_records(flagged, slots=3)
+
+
+def test_spans_are_merged_without_loss(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(late_split, "SPAN", 2)
+    for batch in BATCHES:
+        arrive(spark, tmp_path / "in", batch)
+        split(spark, tmp_path)
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["span=0", "span=1"]
+    path, archive = f"{tmp_path}/out", f"{tmp_path}/archive"
+
+    def rows():
+        read = late_split.read_spans(spark, path, archive, 3, ROUTED)
+        return sorted((r.batch_id, r.route, r.value) for r in read.collect())
+
+    assert rows() == ROUTES
+    # A copy that was stopped is not in the list, so it is not read, and made anew.
+    arrive(spark, tmp_path / "archive/rows/span=0", ["half a copy"])
+    assert rows() == ROUTES
+    assert late_split.merge_spans(spark, path, archive, 3, ROUTED) == [0]
+    assert late_split.merge_spans(spark, path, archive, 3, ROUTED) == []
+    assert rows() == ROUTES
+    files = list((tmp_path / "archive/rows/span=0").rglob("*.parquet"))
+    assert len(files) == 3  # one for each route
+
+
+def test_permissive_windows_leave_out_broken_messages_only(spark, tmp_path):
+    def body(minute, price=b"\x04\x03\xe7"):
+        millis = 2 * (1_704_067_200_000 + 60_000 * minute)
+        time = bytes((millis >> s & 127) | (128 if millis >> (s + 7) else 0) for s in range(0, 42, 7))
+        return b"\x00\x00\x00\x00\x07\x06tea\x06IGA" + price + time
+
+    wide = b"\x0a" + (10**10).to_bytes(5, "big", signed=True)
+    values = [body(1), body(2, wide), body(3)[:-2], body(4), body(300)]
+    rows = [(b"k", v) for v in values]
+    spark.createDataFrame(rows, "key BINARY, value BINARY").write.parquet(f"{tmp_path}/in")
+    messages = spark.readStream.schema("key BINARY, value BINARY").parquet(f"{tmp_path}/in")
+    finish(
+        windows_to_csv(
+            messages, CONSUMER_GOOD, f"{tmp_path}/out", f"{tmp_path}/check",
+            window="1 hour", mode="PERMISSIVE", trigger=NOW,
+        )
+    )
+    schema = "window_end STRING, retailer STRING, item_count LONG"
+    kept = spark.read.schema(schema).csv(f"{tmp_path}/out").collect()
+    assert [(r.retailer, r.item_count) for r in kept] == [("IGA", 2)]
+
+
+def test_window_folders_hold_few_files(spark, tmp_path):
+    rows = [("tea", f"shop {n}", None, START + dt.timedelta(seconds=n % 20)) for n in range(400)]
+    rows.append(("tea", "shop", None, START + dt.timedelta(seconds=500)))
+    spark.createDataFrame(rows, GOOD).write.parquet(f"{tmp_path}/in")
+    run_windows(spark, tmp_path)
+    folders = list((tmp_path / "out").glob("window_start=*"))
+    assert len(folders) == 2
+    assert all(len(list(folder.glob("*.csv"))) <= 4 for folder in folders)
+
+
+def test_late_rows_would_show_with_a_wide_watermark(spark):
+    """The registered query leaves rows out; with an unlimited watermark they are all there."""
+    def counted(watermark):
+        windows = windows_with_late_rows(spark, "/root/testdata/sf0.001", watermark)
+        return windows.agg(F.sum("item_count")).first()[0]
+
+    assert counted("5 seconds") > (counted("3650 days") or 0)
+
+
+def test_names_with_dots(spark):
+    df = spark.createDataFrame(
+        [("s", 1, START), ("s", 2, START - dt.timedelta(seconds=9))], "`a.b` STRING, `o.o` LONG, `t.t` TIMESTAMP"
+    )
+    assert [r.late for r in flag_late(df, "a.b", "o.o", "t.t").orderBy("`o.o`").collect()] == [False, True]
+    windows = tumbling_aggregate(df, "t.t", "a.b", "o.o", "o.o")
+    assert sum(r.item_count for r in windows.collect()) == 2
