@@ -10,8 +10,9 @@ rows the trees have not seen, selects those to redact.
 No spans are labelled, so the trees learn from the base spans: a base span is a
 positive as it stands and once more with its format disturbed as writers do it
 (plus sign, separators or at-sign changed); candidates that touch no base span
-are negatives. At most ``SAMPLE`` candidates, taken in the order of a hash, are
-used; half of them (by the hash's last bit) only for the thresholds.
+are negatives. At most ``SAMPLE`` candidates, taken in the order of a hash, from about
+``SAMPLE_DOCS`` documents, taken by another, are used; half of them (by the hash's last
+bit) only for the thresholds. Scoring covers every document.
 
 Positions are code points, ends exclusive.
 """
@@ -32,6 +33,7 @@ from tidegate.llm.frames import fields
 
 KINDS = ["email", "ip", "card", "phone"]
 SAMPLE = 20_000
+SAMPLE_DOCS = 100_000
 #: Least share of true positives among what a threshold selects, on held-out candidates.
 PRECISION = 0.95
 
@@ -189,8 +191,8 @@ def threshold(scores: np.ndarray, truth: np.ndarray, precision: float = PRECISIO
     return float(ranked[good[-1]]) if len(good) else 2.0
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE) -> Selector:
-    """Trees and thresholds from the candidates of these documents."""
+def fit(docs: DataFrame, sample: int = SAMPLE, sample_docs: int = SAMPLE_DOCS) -> Selector:
+    """Trees and thresholds from candidates of a sample of these documents."""
 
     def teach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,9 +209,12 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Selector:
                 names=["place", "features", "truth"],
             )
 
+    texts, span = fields(docs, "text"), 1 << 30
+    share = sample_docs / max(1, texts.count())
+    if share < 1:
+        texts = texts.where(F.pmod(F.xxhash64("text"), F.lit(span)) < int(span * share))
     rows = (
-        fields(docs, "text")
-        .mapInArrow(teach, "place bigint, features array<double>, truth boolean")
+        texts.mapInArrow(teach, "place bigint, features array<double>, truth boolean")
         .orderBy("place", "truth", "features")
         .limit(sample)
         .collect()
