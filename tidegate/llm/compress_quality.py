@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.frames import fields, stored
+from tidegate.llm.frames import fields, hash_sample, stored
 
 SAMPLE = 3_000
 PIECE = 4_000
@@ -52,13 +52,8 @@ def class_labels(labels: DataFrame) -> DataFrame:
 
 def sample_pieces(docs: DataFrame, labels: DataFrame, quality: int) -> list[bytes]:
     """The bounded sample of one class, in a fixed order."""
-    chosen = (
-        class_labels(labels)
-        .where((F.col("quality") == quality) & fold().isin(1, 2))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(SAMPLE)
-        .select(F.col("doc_id").alias("chosen_id"))
-    )
+    known = class_labels(labels).where((F.col("quality") == quality) & fold().isin(1, 2))
+    chosen = hash_sample(known, SAMPLE, "doc_id").select(F.col("doc_id").alias("chosen_id"))
     spare = F.greatest(F.length("text") - PIECE, F.lit(0)) + 1
     pieces = (
         fields(docs, "doc_id", "text")
@@ -160,13 +155,8 @@ def classify(docs: DataFrame, labels: DataFrame, keep_from: float = KEEP_FROM) -
     known = class_labels(labels).where(fold().isin(3, 4)).select(
         F.col("doc_id").alias("known_id"), "quality"
     )
-    rows = (
-        measured.join(known, F.col("doc_id") == F.col("known_id"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(CALIBRATION)
-        .select(*FEATURES, "quality")
-        .collect()
-    )
+    labelled = measured.join(known, F.col("doc_id") == F.col("known_id"))
+    rows = hash_sample(labelled, CALIBRATION, "doc_id").select(*FEATURES, "quality").collect()
     table = np.array([tuple(r) for r in rows], dtype=float).reshape(-1, len(FEATURES) + 1)
     weights = logistic(table[:, :-1], (table[:, -1] == 1).astype(float))
     logit = F.lit(float(weights[0]))
