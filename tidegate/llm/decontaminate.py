@@ -48,20 +48,26 @@ def _key(tokens: str, at: Column | int, length: int) -> Column:
     return F.xxhash64(*[F.get(tokens, F.lit(at) + p if isinstance(at, int) else at + p) for p in places])
 
 
-def _grams(tokens: str, lengths: list[int]) -> Column:
-    """Every window of each length as (at, len, key)."""
+def _grams(read: DataFrame, lengths: list[int]) -> DataFrame:
+    """``read`` with a row for every window of each length: at, len, key.
 
-    def of(length: int) -> Column:
+    With one length, as a benchmark of longer items has, keys are plain numbers.
+    """
+
+    def keys(length: int) -> Column:
+        return F.transform(indexes(F.size("tokens"), length), lambda i: _key("tokens", i, length))
+
+    if len(lengths) == 1:
+        placed = read.select("*", F.posexplode(keys(lengths[0])).alias("at", "key"))
+        return placed.withColumn("len", F.lit(lengths[0]))
+
+    def sized(length: int) -> Column:
         return F.transform(
-            indexes(F.size(tokens), length),
-            lambda i: F.struct(
-                i.alias("at"),
-                F.lit(length).alias("len"),
-                _key(tokens, i, length).alias("key"),
-            ),
+            keys(length),
+            lambda key, i: F.struct(i.alias("at"), F.lit(length).alias("len"), key.alias("key")),
         )
 
-    return F.concat(*[of(n) for n in lengths]) if len(lengths) > 1 else of(lengths[0])
+    return read.select("*", F.inline(F.concat(*map(sized, lengths))))
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -111,6 +117,7 @@ def contamination(
     """
     grams = benchmark_windows(benchmark, window).persist(StorageLevel.MEMORY_AND_DISK)
     known = grams.agg(F.count("*"), F.collect_set("len")).first()
+    grams = grams.withColumnRenamed("len", "gram_len")
     if known[0] <= broadcast_windows:
         grams = F.broadcast(grams)
     lengths = sorted(known[1]) or [window]
@@ -121,10 +128,11 @@ def contamination(
         words(folded(F.col("text")), SEPARATOR).alias("tokens"),
     )
     found = (
-        read.select("doc_id", "content", "tokens", F.inline(_grams("tokens", lengths)))
-        .join(grams, ["key", "len"])
+        _grams(read, lengths)
+        .join(grams, "key")  # a join on one long is the fastest
         .where(
-            F.array_join(F.slice("tokens", F.col("at") + 1, F.col("len")), " ") == F.col("gram")
+            (F.col("len") == F.col("gram_len"))
+            & (F.array_join(F.slice("tokens", F.col("at") + 1, F.col("len")), " ") == F.col("gram"))
         )
         .groupBy("doc_id", "content")
         .agg(
