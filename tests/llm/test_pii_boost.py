@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 
 from tests.llm.brute import awkward, documents
 from tidegate.llm import pii_boost as pii
-from tidegate.llm.boosting import boost
+from tidegate.llm.boosting import Boosted, boost
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -45,6 +45,21 @@ def test_base_spans_in_long_runs():
         pii.base_spans(text), pii.loose_spans(text)
 
 
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from(["a", "jo", " ", "at", "AT", "(", ")", "[", "]", "@", ".", "dot", "12", "345", "-"]), max_size=30))
+def test_no_loose_span_is_passed_over(parts):
+    text = "".join(parts)
+    want = [(kind, *m.span()) for kind, pattern in enumerate(pii.LOOSE) for m in pattern.finditer(text)]
+    assert pii.loose_spans(text) == want
+    assert not want or pii.Selector(Boosted(), [0.0] * 4).spans(text)[1]
+
+
+def test_addresses_without_digits_and_at_signs_are_candidates():
+    for text in ("Write to jane.doe (at) example.com for news", "jane at example.com", "mail jane[at]example.org"):
+        assert [k for k, _, _ in pii.Selector(Boosted(), [0.0] * 4).spans(text)[1]] == [0]
+        assert [true for _, true in pii.examples(text)] == [False]
+
+
 def test_whole_table(spark):
     docs = documents(spark)
     texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}

@@ -43,7 +43,9 @@ DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-ANY = re.compile(r"[@0-9]|\bdot\b", re.IGNORECASE)
+#: What a text has that holds a loose e-mail address, and one that holds a loose number.
+AT = re.compile(r"@|\(at\)|\[at\]|[ ]at[ ]", re.IGNORECASE)
+DIGIT = re.compile(r"[0-9]")
 
 LOOSE = [
     re.compile(
@@ -99,7 +101,13 @@ def base_spans(text: str) -> list[Span]:
 
 
 def loose_spans(text: str) -> list[Span]:
-    return [(kind, *m.span()) for kind, pattern in enumerate(LOOSE) for m in pattern.finditer(text)]
+    implied = [AT, *[DIGIT] * (len(LOOSE) - 1)]  # each is part of every match of its pattern
+    return [
+        (kind, *m.span())
+        for kind, pattern in enumerate(LOOSE)
+        if implied[kind].search(text)
+        for m in pattern.finditer(text)
+    ]
 
 
 def disturbed(kind: int, span: str) -> str:
@@ -164,7 +172,7 @@ class Selector:
 
     def spans(self, text: str | None) -> tuple[list[Span], list[Span]]:
         """Base spans, and all spans: the base ones and selected others that touch none of them."""
-        if not text or not ANY.search(text):
+        if not text:
             return [], []
         base = base_spans(text)
         loose = [
@@ -198,7 +206,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, sample_docs: int = SAMPLE_DOCS) -
         for batch in batches:
             keys, rows, truth = [], [], []
             for text in batch.column(0).to_pylist():
-                if text and ANY.search(text):
+                if text:
                     for row, true in examples(text):
                         digest = hashlib.blake2b(repr(row).encode() + text[:WINDOW].encode(), digest_size=8)
                         keys.append(int.from_bytes(digest.digest(), "big", signed=True))
