@@ -57,7 +57,7 @@ def test_no_loose_span_is_passed_over(parts):
 def test_addresses_without_digits_and_at_signs_are_candidates():
     for text in ("Write to jane.doe (at) example.com for news", "jane at example.com", "mail jane[at]example.org"):
         assert [k for k, _, _ in pii.Selector(Boosted(), [0.0] * 4).spans(text)[1]] == [0]
-        assert [true for _, true in pii.examples(text)] == [False]
+        assert [true for _, true, _, _ in pii.examples(text)] == [False]
 
 
 def test_whole_table(spark):
@@ -102,6 +102,32 @@ def test_free_formats_are_selected_and_plain_numbers_are_not(spark):
     assert selector.spans("see page 12-345 of version 2.0") == ([], [])
 
 
+def test_copies_teach_once_and_no_kind_is_crowded_out(spark):
+    copy = "Ref 12-34567 and 98-76543 of the mirrored notice"
+    texts = [copy] * 3_000
+    for i in range(60):
+        texts.append(f"please call +1 (415) {200 + 7 * i}-{1000 + 131 * i} today")
+        texts.append(f"see page {i + 10}-{i + 300} of the book")
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    known = pii.candidates(docs)
+    rows = known.collect()
+    assert sorted(r.n for r in rows)[-2:] == [3_000, 3_000]
+    assert sum(r.n for r in rows) == 6_000 + 120 + 60
+    _, truth = pii.tree_sample(known, 160)
+    assert truth.sum() == 20 and len(truth) == 40
+    x = np.random.default_rng(0).random((500, 3))
+    counted = pii.histograms(known, boost(x, (x[:, 0] > 0.5).astype(float))).collect()
+    assert sum(r.n for r in counted) == sum(r.n for r in rows if r.place & 1)
+    selector = pii.fit(docs, 160)
+    assert selector.thresholds[3] <= 1 and selector.spans(copy)[1] == []
+
+
+def test_thresholds_count_each_candidate_as_often_as_it_occurs():
+    scores, truth = np.array([0.9, 0.8, 0.7]), np.array([1, 1, 0.0])
+    assert pii.threshold(scores, truth, times=np.array([50, 50, 1.0])) == 0.7
+    assert pii.threshold(scores, truth, times=np.array([5, 5, 1.0])) == 0.8
+
+
 def test_trees_learn_an_interaction():
     rng = np.random.default_rng(0)
     x = rng.random((4_000, 5))

@@ -10,9 +10,12 @@ rows the trees have not seen, selects those to redact.
 No spans are labelled, so the trees learn from the base spans: a base span is a
 positive as it stands and once more with its format disturbed as writers do it
 (plus sign, separators or at-sign changed); candidates that touch no base span
-are negatives. At most ``SAMPLE`` candidates, taken in the order of a hash, from about
-``SAMPLE_DOCS`` documents, taken by another, are used; half of them (by the hash's last
-bit) only for the thresholds. Scoring covers every document.
+are negatives. Candidates of all documents are stored, equal ones (features, span and
+words around it) once with a count, so copies of a text teach once. By a bit of their
+hash half of them are for the trees, of which each kind gives, of positives and of
+negatives each, an equal part of ``SAMPLE``, in the order of the hash. All of the
+other half, each as often as it occurs, count for the thresholds, as histograms of
+their scores.
 
 Positions are code points, ends exclusive.
 """
@@ -29,13 +32,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm.boosting import Boosted, boost
-from tidegate.llm.frames import fields
+from tidegate.llm.frames import fields, stored
 
 KINDS = ["email", "ip", "card", "phone"]
+#: Candidates for the trees, from all kinds, positives and negatives.
 SAMPLE = 20_000
-SAMPLE_DOCS = 100_000
 #: Least share of true positives among what a threshold selects, on held-out candidates.
 PRECISION = 0.95
+#: Bins of scores for the thresholds: lower edges, a hundredth apart on the scale the trees add up on.
+EDGES = 1 / (1 + np.exp(-np.linspace(-30, 30, 6_001)))
 
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -153,15 +158,21 @@ def around(text: str, start: int, end: int) -> tuple[str, str]:
     return text[max(0, start - WINDOW) : start], text[end : end + WINDOW]
 
 
-def examples(text: str) -> Iterator[tuple[list[float], bool]]:
-    """What one text teaches: features and whether they are of personal data."""
+Example = tuple[int, bool, list[float], str]
+
+
+def examples(text: str) -> Iterator[Example]:
+    """What one text teaches: kind, whether it is personal data, features, the span with what is around."""
     base = base_spans(text)
     for kind, start, end in base:
+        before, after = around(text, start, end)
         for span in (text[start:end], disturbed(kind, text[start:end])):
-            yield features(kind, span, *around(text, start, end)), True
+            yield kind, True, features(kind, span, before, after), f"{before}\n{span}\n{after}"
     for kind, start, end in loose_spans(text):
         if not any(s < end and start < e for _, s, e in base):
-            yield features(kind, text[start:end], *around(text, start, end)), False
+            before, after = around(text, start, end)
+            span = text[start:end]
+            yield kind, False, features(kind, span, before, after), f"{before}\n{span}\n{after}"
 
 
 class Selector:
@@ -190,59 +201,104 @@ class Selector:
         return base, sorted(chosen)
 
 
-def threshold(scores: np.ndarray, truth: np.ndarray, precision: float = PRECISION) -> float:
-    """The lowest score at and above which the share of true candidates is high enough; else 2."""
+def threshold(
+    scores: np.ndarray, truth: np.ndarray, precision: float = PRECISION, times: np.ndarray | None = None
+) -> float:
+    """The lowest score at and above which the share of true candidates is high enough; else 2.
+
+    ``times`` says how often each candidate counts, once if left out.
+    """
     order = np.argsort(-scores, kind="stable")
-    ranked, hits = scores[order], truth[order].cumsum()
+    times = (np.ones(len(scores)) if times is None else times)[order]
+    ranked, hits, seen = scores[order], (truth[order] * times).cumsum(), times.cumsum()
     last = np.flatnonzero(np.append(ranked[1:] != ranked[:-1], True)[: len(ranked)])
-    good = last[hits[last] >= precision * (last + 1)] if len(ranked) else last
+    good = last[hits[last] >= precision * seen[last]] if len(ranked) else last
     return float(ranked[good[-1]]) if len(good) else 2.0
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE, sample_docs: int = SAMPLE_DOCS) -> Selector:
-    """Trees and thresholds from candidates of a sample of these documents."""
+def candidates(docs: DataFrame) -> DataFrame:
+    """(place, kind, truth, features, n): the candidates of all texts, equal ones once with their number."""
+    kinds = "place bigint, kind int, truth boolean, features array<double>, n bigint"
 
     def teach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, rows, truth = [], [], []
+            known: dict[tuple[int, int, bool], tuple[list[float], list[int]]] = {}
             for text in batch.column(0).to_pylist():
-                if text:
-                    for row, true in examples(text):
-                        digest = hashlib.blake2b(repr(row).encode() + text[:WINDOW].encode(), digest_size=8)
-                        keys.append(int.from_bytes(digest.digest(), "big", signed=True))
-                        rows.append(row)
-                        truth.append(true)
+                for kind, true, row, seen in examples(text or ""):
+                    digest = hashlib.blake2b(f"{kind} {row} {seen}".encode(), digest_size=8).digest()
+                    key = int.from_bytes(digest, "big", signed=True), kind, true
+                    known.setdefault(key, (row, [0]))[1][0] += 1
+            places, of_kind, truth = zip(*known) if known else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(rows, pa.list_(pa.float64())), pa.array(truth, pa.bool_())],
-                names=["place", "features", "truth"],
+                [
+                    pa.array(places, pa.int64()),
+                    pa.array(of_kind, pa.int32()),
+                    pa.array(truth, pa.bool_()),
+                    pa.array([row for row, _ in known.values()], pa.list_(pa.float64())),
+                    pa.array([n[0] for _, n in known.values()], pa.int64()),
+                ],
+                names=["place", "kind", "truth", "features", "n"],
             )
 
-    texts, span = fields(docs, "text"), 1 << 30
-    share = sample_docs / max(1, texts.count())
-    if share < 1:
-        texts = texts.where(F.pmod(F.xxhash64("text"), F.lit(span)) < int(span * share))
-    rows = (
-        texts.mapInArrow(teach, "place bigint, features array<double>, truth boolean")
-        .orderBy("place", "truth", "features")
-        .limit(sample)
-        .collect()
-    )
-    if not rows:
-        return Selector(Boosted(), [2.0] * len(KINDS))
-    table = np.array([r["features"] for r in rows])
-    truth = np.array([r["truth"] for r in rows], dtype=float)
-    held = np.array([r["place"] & 1 for r in rows], dtype=bool)
-    trees = boost(table[~held], truth[~held])
-    scores = trees.probability(table)
-    return Selector(
-        trees,
-        [
-            threshold(scores[held & (table[:, k] == 1)], truth[held & (table[:, k] == 1)])
-            for k in range(len(KINDS))
-        ],
+    found = fields(docs, "text").mapInArrow(teach, kinds)
+    return found.groupBy("place", "kind", "truth", "features").agg(F.sum("n").alias("n"))
+
+
+def tree_sample(known: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
+    """Features and truth for the trees: of each kind and truth at most an equal part of ``sample``.
+
+    Rows are thinned by their hash on the workers, to about twice that, and cut here.
+    """
+    quota, span = sample // (2 * len(KINDS)), 1 << 30
+    learned = known.where("place & 1 = 0")
+    at = F.pmod(F.shiftrightunsigned("place", 1), F.lit(span))
+    wanted = F.lit(False)
+    for kind, truth, total in learned.groupBy("kind", "truth").count().collect():
+        bound = span if total <= 2 * quota else int(span * 2 * quota / total)
+        wanted = wanted | ((F.col("kind") == kind) & (F.col("truth") == truth) & (at < bound))
+    groups: dict[tuple[int, bool], list[tuple[int, int, list[float]]]] = {}
+    for row in learned.where(wanted).select(at.alias("at"), "place", "kind", "truth", "features").collect():
+        groups.setdefault((row["kind"], row["truth"]), []).append((row["at"], row["place"], row["features"]))
+    chosen = [(r[2], key[1]) for key in sorted(groups) for r in sorted(groups[key])[:quota]]
+    width = len(features(0, "", "", ""))
+    return (
+        np.array([row for row, _ in chosen], dtype=float).reshape(-1, width),
+        np.array([truth for _, truth in chosen], dtype=float),
     )
 
 
+def histograms(known: DataFrame, trees: Boosted) -> DataFrame:
+    """(kind, truth, bin, n): how many of all held-out candidates score within each bin of EDGES."""
+    shared = known.sparkSession.sparkContext.broadcast(trees)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.column("features")
+            table = rows.flatten().to_numpy().reshape(len(rows), -1) if len(rows) else np.zeros((0, 1))
+            scores = shared.value.probability(table) if len(rows) else np.zeros(0)
+            bins = np.maximum(np.searchsorted(EDGES, scores, side="right") - 1, 0)
+            columns = [batch.column("kind"), batch.column("truth"), pa.array(bins), batch.column("n")]
+            yield pa.RecordBatch.from_arrays(columns, names=["kind", "truth", "bin", "n"])
+
+    held = known.where("place & 1 = 1").select("kind", "truth", "features", "n")
+    scored = held.mapInArrow(score, "kind int, truth boolean, bin bigint, n bigint")
+    return scored.groupBy("kind", "truth", "bin").agg(F.sum("n").alias("n"))
+
+
+def fit(docs: DataFrame, sample: int = SAMPLE) -> Selector:
+    """Trees from a bounded sample of each kind's candidates, thresholds from the candidates of all documents."""
+    known = stored(candidates(docs), "candidates")
+    table, truth = tree_sample(known, sample)
+    trees = boost(table, truth)
+    counted = histograms(known, trees).collect()
+    thresholds = []
+    for kind in range(len(KINDS)):
+        bins = [(EDGES[r["bin"]], r["truth"], r["n"]) for r in counted if r["kind"] == kind]
+        edges, true, times = np.array(bins, dtype=float).reshape(-1, 3).T
+        thresholds.append(threshold(edges, true, times=times))
+    return Selector(trees, thresholds)
+
+
 def joined(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for kind, start, end in spans)
 
