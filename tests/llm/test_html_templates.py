@@ -66,6 +66,22 @@ def test_small_hosts_have_no_template(spark):
     assert got == {1: "Same text on both pages", 2: "Same text on both pages"}
 
 
+def test_a_host_of_copies_has_no_template(spark):
+    page = "<html><body><nav>Menu</nav><article><h1>Moved</h1><p>One story</p><p>and its end</p></article></body></html>"
+    for n in (3, 12, 13):
+        got = run(spark, [(i, f"http://c.example/{i}", page) for i in range(n)])
+        assert set(got.values()) == {"Moved\nOne story\nand its end"} and len(got) == n
+
+
+def test_repeated_rows_do_not_change_the_template(spark):
+    # "Common" is in all pages but two; were these gone from the sums, it would look like the tags.
+    page = "<body><div>Top</div>{}<p>story {} of all</p></body>"
+    rows = [(i, f"http://d.example/{i}", page.format("<p>Common</p>" if i > 1 else "", i)) for i in range(20)]
+    want = {i: ("Common\n" if i > 1 else "") + f"story {i} of all" for i in range(20)}
+    assert run(spark, rows) == want
+    assert run(spark, rows + rows[:2]) == want
+
+
 def test_broken_and_hostile_pages():
     assert ht.main_text("<p>a <b>b<p>c < d & e &am", set(), set()) == "a b\nc < d & e &am"
     assert ht.main_text("<script>never closed <p>x", set(), set()) == ""

@@ -9,10 +9,14 @@ what remains are slots. A slot's role comes from the template elements around it
 article, a menu, a footer, an advert ...) and, for pages without an article, from the
 share of links in it over the host's pages. The text of content slots is the result.
 
+Pages of a host with equal html are one page there: copies say nothing about what a
+template repeats, and would make all their text look like it. A host with fewer than
+``MIN_PAGES`` different pages has no template; roles alone decide there.
+
 An occurrence vector is as long as a host has pages, so it is not gathered: it is
-folded to 64 bits, the exclusive or of a hash of (page, count) over the pages, which
-adds up in any order, on the map side first. A host may hold any share of all pages.
-A host with fewer than ``MIN_PAGES`` pages has no template; roles alone decide there.
+folded to the sum of a 64-bit hash of (page, count) over the pages, kept as the sums
+of both halves, which adds up in any order, on the map side first. A host may hold any
+share of all pages.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm.frames import fields, stored
@@ -183,24 +187,33 @@ def host_of(url: str | None) -> str:
     return match[1].lower() if match else ""
 
 
+def host(url: Column) -> Column:
+    """``host_of`` as built-in functions."""
+    name = F.regexp_extract(F.coalesce(url, F.lit("")), r"^\s*[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
+    return F.lower(name)
+
+
 TAG, TEXT, SLOT, PAGE = 0, 1, 2, 3
 
 
 def tokens(pages: DataFrame) -> DataFrame:
-    """(host, kind, token, pages, times, vector, chars, linked), summed within each batch."""
-    kinds = "host string, kind int, token bigint, pages bigint, times bigint, vector bigint, chars bigint, linked bigint"
+    """(host, kind, token, pages, times, high, low, chars, linked), summed within each batch.
+
+    Takes host and html, each different page of a host once.
+    """
+    sums = ("pages", "times", "high", "low", "chars", "linked")
+    kinds = "host string, kind int, token bigint, " + ", ".join(f"{n} bigint" for n in sums)
     schema = pa.schema(
-        [("host", pa.string()), ("kind", pa.int32())]
-        + [(n, pa.int64()) for n in ("token", "pages", "times", "vector", "chars", "linked")]
+        [("host", pa.string()), ("kind", pa.int32())] + [(n, pa.int64()) for n in ("token", *sums)]
     )
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: dict[tuple[str, int, int], list[int]] = {}
-            rows = zip(*[batch.column(c).to_pylist() for c in ("page_id", "url", "html")], strict=True)
-            for page_id, url, page in rows:
-                host = host_of(url)
-                tags, blocks = parse(page or "")
+            rows = zip(*[batch.column(c).to_pylist() for c in ("host", "html")], strict=True)
+            for host, page in rows:
+                tags, blocks = parse(page)
+                content = xxhash.xxh64_intdigest(page)
                 counts: dict[tuple[str, int, int], list[int]] = {(host, PAGE, 0): [1, 0, 0]}
                 for path in tags:
                     counts.setdefault((host, TAG, path), [0, 0, 0])[0] += 1
@@ -211,17 +224,18 @@ def tokens(pages: DataFrame) -> DataFrame:
                     slot[1] += len(block[2])
                     slot[2] += block[3]
                 for key, (times, chars, linked) in counts.items():
-                    vector = xxhash.xxh64_intdigest(f"{page_id} {url} {times}")
-                    have = found.setdefault(key, [0, 0, 0, 0, 0])
+                    vector = xxhash.xxh64_intdigest(f"{content} {times}")
+                    have = found.setdefault(key, [0, 0, 0, 0, 0, 0])
                     have[0] += 1
                     have[1] += times
-                    have[2] ^= vector
-                    have[3] += chars
-                    have[4] += linked
+                    have[2] += vector >> 32
+                    have[3] += vector & 0xFFFFFFFF
+                    have[4] += chars
+                    have[5] += linked
             keys, sums = list(zip(*found)), list(zip(*found.values()))
             if not keys:
                 continue
-            columns = [keys[0], keys[1], map(signed, keys[2]), *sums[:2], map(signed, sums[2]), *sums[3:]]
+            columns = [keys[0], keys[1], map(signed, keys[2]), *sums]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(c), f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
             )
@@ -234,15 +248,14 @@ def templates(pages: DataFrame, min_pages: int = MIN_PAGES, support: float = SUP
 
     Classes are the groups of tags and texts with one vector; valid ones have the
     support and at least two tokens, one of them a tag, and their texts lie once in a
-    page. The number of rows a host has here does not grow with its pages.
+    page. The number of rows a host has here does not grow with its pages. Pages are
+    the different ones: rows with equal html count as one page of their host.
     """
+    different = pages.select(host(F.col("url")).alias("host"), F.coalesce("html", F.lit("")).alias("html")).distinct()
     summed = stored(
-        tokens(pages)
+        tokens(different)
         .groupBy("host", "kind", "token")
-        .agg(
-            *[F.sum(c).alias(c) for c in ("pages", "times", "chars", "linked")],
-            F.bit_xor("vector").alias("vector"),
-        )
+        .agg(*[F.sum(c).alias(c) for c in ("pages", "times", "high", "low", "chars", "linked")])
         .where(F.col("kind").isin(SLOT, PAGE) | (F.col("pages") >= support * min_pages)),
         "page-tokens",
     )
@@ -254,7 +267,7 @@ def templates(pages: DataFrame, min_pages: int = MIN_PAGES, support: float = SUP
     )
     classes = (
         common.where(F.col("kind").isin(TAG, TEXT))
-        .groupBy("of_host", "vector")
+        .groupBy("of_host", "high", "low")
         .agg(
             F.count("*").alias("size"),
             F.sum((F.col("kind") == TAG).cast("int")).alias("tags"),
@@ -299,8 +312,8 @@ def extract(
 ) -> DataFrame:
     """One row per row of ``pages``: page_id, url, text, n_chars.
 
-    Null or empty html gives the empty text. Pages without a url form one host,
-    as do repeated rows with the others of theirs. A page without an article gives
+    Null or empty html gives the empty text. Pages without a url form one host.
+    Rows with equal html count once for the template of their host. A page without an article gives
     its body's blocks that are neither layout by name nor in the template. Columns
     other than page_id, url and html are ignored; an empty table gives no rows.
     """
@@ -308,8 +321,7 @@ def extract(
     known = stored(templates(chosen, min_pages, support), "templates")
     if known.count() <= broadcast_hosts:
         known = F.broadcast(known)
-    url = F.regexp_extract(F.coalesce("url", F.lit("")), r"^\s*[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
-    joined = chosen.join(known, F.lower(url) == F.col("of_host"), "left").select(
+    joined = chosen.join(known, host(F.col("url")) == F.col("of_host"), "left").select(
         "page_id", "url", "html", "of_host", "layout", "menus"
     )
     kind = chosen.schema["page_id"].dataType.simpleString()
