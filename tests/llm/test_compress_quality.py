@@ -48,6 +48,23 @@ def test_awkward_rows(spark):
     assert {r.score for r in cq.classify(awkward(spark), labels.limit(0)).collect()} == {0.5}
 
 
+def test_all_of_a_long_text_counts_wherever_it_stands(spark):
+    rng = np.random.default_rng(4)
+    good, bad = ([f"{c}{rng.integers(10**9)}" for _ in range(3_000)] for c in "gb")
+
+    def text(vocabulary, n):
+        return " ".join(rng.choice(vocabulary, n // 10))[:n]
+
+    texts = [text(good, 4_000), text(good, 1_000_000)]
+    halves = text(good, 500_000), text(bad, 500_000)
+    texts += [halves[0] + halves[1], halves[1] + halves[0]]
+    dictionaries = [" ".join(v).encode() for v in (good, bad)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    by_length = {r.doc_id: r.by_length for r in cq.measure(docs, *dictionaries).collect()}
+    assert by_length[0] > 0.05 and abs(by_length[1] / by_length[0] - 1) < 0.1
+    assert abs(by_length[2] - by_length[3]) < 0.01 * by_length[0]
+
+
 def test_logistic_finds_the_weights():
     rng = np.random.default_rng(3)
     x = rng.normal(5, 3, (20_000, 2))

@@ -1,7 +1,9 @@
 """Quality by compression: two zstandard dictionaries, one of good and one of bad text.
 
 A text that compresses better with the dictionary of good text than with that of
-bad text looks good. The difference of the two sizes, divided by the length and by
+bad text looks good. A dictionary helps only near its use, as further on the text's own
+history takes over; so a text is compressed in consecutive pieces of ``PART`` bytes,
+all of them, each with a fresh use of the dictionary, and the sizes are summed. The difference of the two sizes, divided by the length and by
 the sizes' sum, goes through a logistic curve fitted on other labelled documents,
 together with the length and the compressed share itself, which the meaning of a
 difference depends on.
@@ -27,6 +29,8 @@ from tidegate.llm.frames import fields, hash_sample, stored
 
 SAMPLE = 3_000
 PIECE = 4_000
+#: Bytes of a text that are compressed at a time; the last part of a text may be shorter.
+PART = 4_000
 CALIBRATION = 20_000
 DICTIONARY = 112_640
 LEVEL = 3
@@ -85,8 +89,13 @@ def compressor(content: bytes) -> zstandard.ZstdCompressor:
     )
 
 
+def compressed_size(by: zstandard.ZstdCompressor, data: bytes) -> int:
+    """The sizes of all parts of ``data``, each compressed on its own; an empty text is one part."""
+    return sum(len(by.compress(data[i : i + PART])) for i in range(0, max(1, len(data)), PART))
+
+
 def measure(docs: DataFrame, good: bytes, bad: bytes) -> DataFrame:
-    """(doc_id, features): each whole text compressed with both dictionaries."""
+    """(doc_id, features): each whole text, part by part, compressed with both dictionaries."""
     chosen = fields(docs, "doc_id", "text")
     shared = docs.sparkSession.sparkContext.broadcast((good, bad))
 
@@ -96,7 +105,7 @@ def measure(docs: DataFrame, good: bytes, bad: bytes) -> DataFrame:
             rows = []
             for text in batch.column("text").cast(pa.binary()).to_pylist():
                 data = text or b""
-                g, b, n = len(good_by.compress(data)), len(bad_by.compress(data)), max(1, len(data))
+                g, b, n = compressed_size(good_by, data), compressed_size(bad_by, data), max(1, len(data))
                 if not data:
                     g = b  # nothing to tell apart
                 rows.append(((b - g) / n, (b - g) / (b + g), np.log(n), g / n))
