@@ -27,16 +27,47 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents whose id is in ``ids`` (one column), each row as often as it was."""
-    wanted = ids.toDF("wanted").distinct()
-    return fields(docs, *COLUMNS).join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
+def _keep(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The documents whose key is in ``keys``, each row as often as it was.
+
+    ``keys`` has doc_id and maybe content, the xxhash64 of the text. Rows that share an
+    id (those without one share null) but not the text are only told apart with content.
+    """
+    wanted = keys.toDF(*[f"wanted_{c}" for c in keys.columns]).distinct()
+    found = fields(docs, *COLUMNS).withColumn("content", F.xxhash64("text"))
+    same = [F.col(c).eqNullSafe(F.col(f"wanted_{c}")) for c in keys.columns]
+    return found.join(wanted, same, "left_semi").drop("content")
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents whose quality score is below the operator's threshold."""
-    verdicts = compress_quality.classify(docs, _table(spark, sf_dir, "labels"))
-    return _keep(docs, verdicts.where("predicted = 1").select("doc_id"))
+    verdicts = compress_quality.classify(docs, _table(spark, sf_dir, "labels"), with_content=True)
+    return _keep(docs, verdicts.where("predicted = 1").select("doc_id", "content"))
+
+
+def _contents(docs: DataFrame) -> DataFrame:
+    """(content, fingerprint) of the texts, the fingerprint as the operator returns it."""
+    of_text = simhash_partitions.fingerprints(docs.select(F.xxhash64("text").alias("doc_id"), "text"))
+    return of_text.select(F.col("doc_id").alias("content"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"))
+
+
+def _single_group(kept: DataFrame, groups: DataFrame) -> DataFrame:
+    """``kept`` without rows whose id leads a group but whose own text is in another group."""
+    leads = F.col("doc_id") == F.col("component_id")
+    mixed = (
+        groups.where("doc_id IS NOT NULL")
+        .groupBy("doc_id")
+        .agg(F.bool_or(leads).alias("leads"), F.bool_or(~leads).alias("follows"))
+        .where("leads AND follows")
+        .select("doc_id")
+    )
+    if mixed.isEmpty():
+        return kept
+    inside = kept.join(mixed, "doc_id", "left_semi")
+    leading = groups.where(leads).select("doc_id", "fingerprint").distinct()
+    keys = leading.join(mixed, "doc_id", "left_semi").join(_contents(inside).distinct(), "fingerprint")
+    outside = kept.join(mixed, "doc_id", "left_anti")
+    return outside.unionByName(_keep(inside, keys.select("doc_id", "content")))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +79,7 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     groups = stored(simhash_partitions.near_duplicates(docs), "near-duplicates")
     first = groups.where("doc_id <=> component_id")
     repeated = first.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").select("doc_id")
-    kept = _keep(docs, first.select("doc_id"))
+    kept = _single_group(_keep(docs, first.select("doc_id")), groups)
     if repeated.isEmpty():
         return kept
     again = F.broadcast(repeated) if repeated.count() <= 100_000 else repeated
@@ -71,8 +102,8 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the contamination rule marks."""
-    verdicts = decontaminate.contamination(docs, _table(spark, sf_dir, "benchmark"))
-    return _keep(docs, verdicts.where("NOT contaminated").select("doc_id"))
+    verdicts = decontaminate.contamination(docs, _table(spark, sf_dir, "benchmark"), with_content=True)
+    return _keep(docs, verdicts.where("NOT contaminated").select("doc_id", "content"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

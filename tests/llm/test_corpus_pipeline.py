@@ -61,3 +61,28 @@ def test_one_of_each_group_stays_of_repeated_and_nameless_rows(spark):
     names = Counter(r.doc_id for r in kept)
     assert names[1] == 1 and names[2] == 1 and names[3] == 0 and names[None] == 1
     assert [r.text for r in kept if r.doc_id is None] == ["lone text of its own kind"]
+
+
+def test_rows_that_share_an_id_are_judged_by_their_own_text(spark):
+    real = documents(spark)
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    good = {r.doc_id: r.predicted for r in compress_quality.classify(real, labels).collect()}
+    texts = {r.doc_id: r.text for r in real.collect()}
+    bad, fine = (next(i for i, p in good.items() if p == want) for want in (0, 1))
+    items = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").select("item_id", "text")
+    dirty = items.first().text + " " + items.first().text
+    for name in (None, 10**9):
+        pair = [(name, texts[bad], "en", "a", 1), (name, texts[fine], "en", "a", 1), (name, dirty, "en", "a", 1)]
+        both = real.unionByName(spark.createDataFrame(pair, real.select(*cp.COLUMNS).schema))
+        kept = [r.text for r in cp.quality_classifier(spark, both, SF_DIR).collect() if r.doc_id == name]
+        assert texts[fine] in kept and texts[bad] not in kept
+        kept = [r.text for r in cp.benchmark_decontamination(spark, both, SF_DIR).collect() if r.doc_id == name]
+        assert texts[fine] in kept and dirty not in kept
+
+
+def test_a_row_that_shares_a_leading_id_goes_with_its_own_group(spark):
+    one, two = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    rows = [(0, one, "en", "a", 1), (1, one, "en", "a", 1), (1, two, "en", "a", 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = cp.simhash_near_dedup(spark, docs, SF_DIR).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(0, one), (1, two)]

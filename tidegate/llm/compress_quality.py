@@ -95,8 +95,8 @@ def compressed_size(by: zstandard.ZstdCompressor, data: bytes) -> int:
 
 
 def measure(docs: DataFrame, good: bytes, bad: bytes) -> DataFrame:
-    """(doc_id, features): each whole text, part by part, compressed with both dictionaries."""
-    chosen = fields(docs, "doc_id", "text")
+    """(doc_id, content, features): each whole text, part by part, compressed with both dictionaries."""
+    chosen = fields(docs, "doc_id", "text").withColumn("content", F.xxhash64("text"))
     shared = docs.sparkSession.sparkContext.broadcast((good, bad))
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,12 +111,12 @@ def measure(docs: DataFrame, good: bytes, bad: bytes) -> DataFrame:
                 rows.append(((b - g) / n, (b - g) / (b + g), np.log(n), g / n))
             columns = np.array(rows, dtype=float).reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *[pa.array(c) for c in columns.T]],
-                names=["doc_id", *FEATURES],
+                [batch.column("doc_id"), batch.column("content"), *[pa.array(c) for c in columns.T]],
+                names=["doc_id", "content", *FEATURES],
             )
 
     kind = chosen.schema["doc_id"].dataType.simpleString()
-    return chosen.mapInArrow(of, f"doc_id {kind}, " + ", ".join(f"{f} double" for f in FEATURES))
+    return chosen.mapInArrow(of, f"doc_id {kind}, content bigint, " + ", ".join(f"{f} double" for f in FEATURES))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -149,9 +149,14 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return np.r_[weights[0] - scaled @ mean, scaled]
 
 
-def classify(docs: DataFrame, labels: DataFrame, keep_from: float = KEEP_FROM) -> DataFrame:
+def classify(
+    docs: DataFrame, labels: DataFrame, keep_from: float = KEEP_FROM, with_content: bool = False
+) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted.
 
+    With ``with_content`` also content, the xxhash64 of the text: rows can share a
+    doc_id, and (doc_id, content) says which of them an answer is for.
+
     ``score`` is the calibrated probability of quality 1. A null text counts as
     empty; empty texts get the score of no difference. Repeated rows get equal
     answers. A null doc_id is scored and not held out. If no labels can be learned
@@ -175,4 +180,5 @@ def classify(docs: DataFrame, labels: DataFrame, keep_from: float = KEEP_FROM) -
         "doc_id",
         (fold() == 0).alias("held_out"),
         (1 / (1 + F.exp(-logit))).alias("score"),
+        *(["content"] if with_content else []),
     ).withColumn("predicted", (F.col("score") >= keep_from).cast("int"))

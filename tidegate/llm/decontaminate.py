@@ -106,9 +106,13 @@ def contamination(
     window: int = WINDOW,
     one_in: int = ONE_IN,
     broadcast_windows: int = BROADCAST_WINDOWS,
+    with_content: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, hit_at.
 
+    With ``with_content`` also content, the xxhash64 of the text: rows can share a
+    doc_id, and (doc_id, content) says which of them an answer is for.
+
     ``hit_at`` lists the 0-based positions of the hit words. A null or empty text
     has no words, no hits and is clean; so is every document if the benchmark is
     empty. Repeated rows get equal answers, a null doc_id is kept. Items without
@@ -156,6 +160,7 @@ def contamination(
     )
     counted = read.select("doc_id", "content", F.size("tokens").cast("long").alias("n_words"))
     none = F.array().cast("array<string>")
+    content = ["content"] if with_content else []
     return (
         counted.join(
             found,
@@ -167,6 +172,7 @@ def contamination(
             "n_words",
             F.coalesce("hit_at", F.array().cast("array<int>")).alias("hit_at"),
             F.coalesce("items", none).alias("items"),
+            *content,
         )
         .select(
             "doc_id",
@@ -178,5 +184,6 @@ def contamination(
                 (F.size("hit_at") > 0) & (one_in * F.size("hit_at").cast("long") >= F.col("n_words"))
             ).alias("contaminated"),
             "hit_at",
+            *content,
         )
     )
