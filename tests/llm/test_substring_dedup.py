@@ -101,6 +101,18 @@ def test_awkward_rows(spark):
     assert found(sd.deduplicate(awkward(spark, empty=True))) == []
 
 
+def test_repeated_rows_are_sent_once_a_batch(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text)] + [(2, text)] * 400 + [(2, text + " and more")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    read = docs.selectExpr("*", "xxhash64(text) AS content")
+    sets = sd.bloom(sd.anchor_counts(read, sd.WINDOW, sd.ANCHOR), sd.HOT)
+    sent = sd.stretches(read, sets, sd.WINDOW, sd.ANCHOR)
+    assert 0 < sent.where("doc_id = 2").count() < 400
+    assert found(sd.deduplicate(docs)) == expected(rows)
+    assert found(sd.deduplicate(docs.repartition(6))) == expected(rows)
+
+
 def test_against_a_broadcast_reference(spark, monkeypatch):
     monkeypatch.setattr(sd, "SHARD_WORDS", 300)
     docs = documents(spark).where("doc_id % 7 = 0")

@@ -205,7 +205,7 @@ def stretches(docs: DataFrame, sets: np.ndarray, window: int, anchor: int) -> Da
     """(anchor, doc_id, content, start, n, words): stretches for the shards.
 
     Rows without words are decided: their windows repeat a smaller document of the
-    same batch.
+    same batch. Of rows that repeat a doc_id and text one of each batch is sent.
     """
     shared = docs.sparkSession.sparkContext.broadcast(sets)
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -214,6 +214,11 @@ def stretches(docs: DataFrame, sets: np.ndarray, window: int, anchor: int) -> Da
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, hot = shared.value
         for batch in batches:
+            first_rows: dict[tuple[object, int], int] = {}
+            same = zip(batch.column("doc_id").to_pylist(), batch.column("content").to_pylist(), strict=True)
+            for i, key in enumerate(same):
+                first_rows.setdefault(key, i)
+            batch = batch.take(pa.array(list(first_rows.values()), pa.int64()))
             ids = batch.column("doc_id").to_pylist()
             keys, rows, starts, counts, words = [], [], [], [], []
             for first, texts in slices(batch, window, anchor):
@@ -414,7 +419,7 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, hot
     windows = (
         stream(dealt, window)
         .groupBy(F.col("doc_id").alias("of_id"), F.col("content").alias("of_content"))
-        .agg(F.collect_list(F.struct("start", "n")).alias("windows"))
+        .agg(F.collect_set(F.struct("start", "n")).alias("windows"))
     )
     joined = read.join(
         windows, (F.col("doc_id") == F.col("of_id")) & (F.col("content") == F.col("of_content")), "left"
