@@ -4,7 +4,7 @@ Pages of one host come from one template. A page is a sequence of tokens: its ta
 told apart by their path, and its text blocks, told apart by path and content. Tokens
 that occur equally often in each page of a host (equal occurrence vectors) form an
 equivalence class; classes with enough support and more than one token are valid and
-make up the template, nested by their paths. What the template holds is layout;
+make up the template, as a flat set: they are not nested among each other. What the template holds is layout;
 what remains are slots. A slot's role comes from the template elements around it (an
 article, a menu, a footer, an advert ...) and, for pages without an article, from the
 share of links in it over the host's pages. The text of content slots is the result.
