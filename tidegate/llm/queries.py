@@ -5,12 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidegate.llm import (
     compress_quality,
     decontaminate,
+    dual_tree_search,
+    edit_embedding,
     html_templates,
+    inverted_multi_index,
     pii_boost,
     poisson_mix,
     rule_thresholds,
@@ -70,6 +74,21 @@ def op10_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return poisson_mix.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_embedding.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_dual_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = (table(spark, sf_dir, n) for n in ("documents", "benchmark"))
+    return dual_tree_search.rank(documents, benchmark)
+
+
+def op13_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return inverted_multi_index.mine(rows, F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -83,6 +102,9 @@ QUERIES: dict[str, Query] = {
         op8_token_attribution,
         op9_quality_rules,
         op10_poisson_mixing,
+        op11_edit_embedding,
+        op12_dual_tree_search,
+        op13_inverted_multi_index,
     )
 } | {"pipeline": corpus_pipeline.run}
 
@@ -150,9 +172,49 @@ SELECT doc_id, text, lang, source, n_chars, k::INTEGER AS copy,
   md5('order:20:' || doc_id || ':' || k) AS shuffle_key
 FROM (SELECT *, unnest(range(0, n)) AS k FROM d)"""
 
+OP12_SQL = r"""
+WITH cut AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')) AS term FROM documents),
+asked AS (SELECT DISTINCT item_id, unnest(list_filter(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')) AS term FROM benchmark),
+sizes AS (SELECT doc_id, count(*) AS n FROM cut GROUP BY doc_id),
+totals AS (SELECT count(*)::BIGINT AS big_n, sum(n)::BIGINT AS big_l FROM sizes),
+tfs AS (SELECT doc_id, term, count(*) AS tf FROM cut
+  WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term),
+dfs AS (SELECT term, count(*) AS df FROM tfs GROUP BY term),
+ws AS (SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM dfs, totals),
+ms AS (SELECT doc_id, 100 - 50 + ((50 * n * big_n) // big_l) AS m FROM sizes, totals),
+parts AS (SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * m)) AS part
+  FROM tfs JOIN ws USING (term) JOIN ms USING (doc_id)),
+scores AS (SELECT item_id, doc_id, sum(part)::BIGINT AS score
+  FROM asked JOIN parts USING (term) GROUP BY item_id, doc_id),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank,
+  doc_id, score FROM scores WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 50"""
+
+OP13_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+    list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i]))::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+positives AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id
+    ORDER BY score DESC, other)::INTEGER AS rank, other AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3"""
+
 ORACLES: dict[str, str] = {
     "op5_warc_sharded_writer": OP5_SQL,
     "op6_benchmark_decontamination": OP6_SQL,
     "op7_substring_automata": OP7_SQL,
     "op10_poisson_mixing": OP10_SQL,
+    "op12_dual_tree_search": OP12_SQL,
+    "op13_inverted_multi_index": OP13_SQL,
 }
