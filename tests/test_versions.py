@@ -1,0 +1,146 @@
+"""Messages of several schema versions."""
+
+import datetime as dt
+import json
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidegate.functions import add_wire_header, decode_versions, encode_avro, is_known, schema_id
+from tidegate.functions.versions import IncompatibleSchemas, readable, resolved
+from tidegate.plans import decode_messages, unknown_messages, unknown_to_files
+
+UTC = dt.timezone.utc
+TIME = {"type": "long", "logicalType": "timestamp-millis"}
+MICROS = {"type": "long", "logicalType": "timestamp-micros"}
+PRICE = {"type": "bytes", "logicalType": "decimal", "precision": 10, "scale": 2}
+
+
+def schema(*fields):
+    return json.dumps({"type": "record", "name": "r", "fields": [dict(f) for f in fields]})
+
+
+def field(name, kind, **more):
+    return {"name": name, "type": kind, **more}
+
+
+OLD = schema(field("item", "string"), field("n", "long"))
+NEW = schema(
+    field("at", TIME, default=946684800000),
+    field("price", PRICE, default="\u0004Ò"),
+    field("owed", PRICE, default="ÿ"),
+    field("thing", "string", aliases=["what", "item"]),
+    field("note", "string", default=""),
+    field("n", "long", default=-1),
+)
+
+
+def messages(spark, *values):
+    rows = [(str(i).encode(), None if v is None else bytes(v)) for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, "key binary, value binary")
+
+
+def written(spark, row, kind, text, number):
+    frame = spark.createDataFrame([row], kind)
+    body = encode_avro(F.struct(*frame.columns), text)
+    return frame.select(add_wire_header(body, number)).first()[0]
+
+
+def test_schema_id_reads_whole_headers_only(spark):
+    frame = messages(spark, b"\0\0\1\2\3rest", b"\0\xff\xff\xff\xff", b"\1\0\0\0\1x", b"\0\0\0\1", b"", None)
+    got = [r[0] for r in frame.select(schema_id(F.col("value"))).collect()]
+    assert got == [0x010203, 0xFFFFFFFF, None, None, None, None]
+    known = [r[0] for r in frame.select(is_known(F.col("value"), {0x010203: OLD})).collect()]
+    assert known == [True, False, False, False, False, False]
+    assert not any(r[0] for r in frame.select(is_known(F.col("value"), {})).collect())
+
+
+def test_fields_go_by_name_alias_and_default(spark):
+    old = written(spark, ("tea", 7), "item string, n long", OLD, 1)
+    [row] = decode_messages(messages(spark, old), NEW, schemas={1: OLD}).collect()
+    assert row.asDict() == {
+        "key": "0",
+        "at": dt.datetime(2000, 1, 1),
+        "price": Decimal("12.34"),
+        "owed": Decimal("-0.01"),
+        "thing": "tea",
+        "note": "",
+        "n": 7,
+    }
+
+
+def test_each_schema_reads_its_own_messages_only(spark):
+    """A body that is no record of the other schema does not fail under it."""
+    other = schema(field("long_text", "string"), field("item", "string"), field("n", "long"))
+    values = [
+        written(spark, ("tea", 7), "item string, n long", OLD, 1),
+        written(spark, ("x" * 50, "pot", 8), "long_text string, item string, n long", other, 2),
+        written(spark, ("cup", 9), "item string, n long", OLD, 3),
+    ]
+    frame = messages(spark, *values)
+    rows = decode_messages(frame, OLD, schemas={1: OLD, 2: other, 3: OLD}).collect()
+    assert [(r.item, r.n) for r in rows] == [("tea", 7), ("pot", 8), ("cup", 9)]
+    record = decode_versions(F.col("value"), {1: OLD, 2: other, 3: OLD}, OLD)
+    plan = frame.select(record.alias("record"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1  # both schemas in one pass over the rows
+
+
+def test_unknown_ids_go_their_own_way(spark):
+    good = written(spark, ("tea", 7), "item string, n long", OLD, 1)
+    frame = messages(spark, good, b"\0\0\0\0\x09body", b"no header", b"", None)
+    schemas = {1: OLD}
+    assert [r.key for r in decode_messages(frame, OLD, schemas=schemas).collect()] == ["0"]
+    unknown = unknown_messages(frame, schemas).collect()
+    assert [(bytes(r.key), bytes(r.value), r.schema_id) for r in unknown] == [
+        (b"1", b"\0\0\0\0\x09body", 9),
+        (b"2", b"no header", None),
+        (b"3", b"", None),
+    ]
+
+
+def test_malformed_bodies_fail_or_become_null(spark):
+    good = written(spark, ("tea", 7), "item string, n long", OLD, 1)
+    frame = messages(spark, good, good[:-1])
+    with pytest.raises(Exception, match="Malformed Avro record"):
+        decode_messages(frame, NEW, schemas={1: OLD}).collect()
+    rows = decode_messages(frame, NEW, "PERMISSIVE", {1: OLD}).collect()
+    assert [(r.thing, r.n, r.note) for r in rows] == [("tea", 7, ""), (None, None, None)]
+
+
+@pytest.mark.parametrize(
+    "reader, message",
+    [
+        (schema(field("item", "string"), field("extra", "long")), "extra was not written"),
+        (schema(field("item", "long")), "item is long"),
+        (schema(field("n", TIME)), "n is timestamp"),
+    ],
+)
+def test_schemas_that_do_not_fit_fail_when_planned(spark, reader, message):
+    with pytest.raises(IncompatibleSchemas, match=message):
+        decode_versions(F.col("value"), {1: OLD}, reader)
+    assert readable({1: OLD, 2: reader}, reader) == {2: reader}
+
+
+def test_units_of_time_are_part_of_the_type(spark):
+    with pytest.raises(IncompatibleSchemas, match="at is timestamp"):
+        resolved(F.lit(None), schema(field("at", MICROS)), schema(field("at", TIME)))
+
+
+def test_no_schema_at_all_is_refused(spark):
+    with pytest.raises(ValueError, match="at least one schema"):
+        decode_versions(F.col("value"), {}, OLD)
+
+
+def test_stream_keeps_unknown_messages_until_their_schema_comes(spark, tmp_path):
+    good = written(spark, ("tea", 7), "item string, n long", OLD, 1)
+    late = written(spark, ("pot", 8), "item string, n long", OLD, 2)
+    messages(spark, good, late, None).write.parquet(f"{tmp_path}/topic")
+    stream = spark.readStream.schema("key binary, value binary").parquet(f"{tmp_path}/topic")
+    kept, now = f"{tmp_path}/unknown", {"availableNow": True}
+    for schemas in ({1: OLD}, {1: OLD}):  # the second run finds nothing new
+        unknown_to_files(stream, schemas, kept, f"{tmp_path}/checkpoint", now).awaitTermination()
+    waiting = spark.read.parquet(kept)
+    assert [r.schema_id for r in waiting.collect()] == [2]
+    [row] = decode_messages(waiting, OLD, schemas={1: OLD, 2: OLD}).collect()
+    assert (row.key, row.item, row.n) == ("1", "pot", 8)

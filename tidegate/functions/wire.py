@@ -16,6 +16,13 @@ def strip_wire_header(value: Column) -> Column:
     return F.substring(value, F.lit(HEADER_BYTES + 1), F.length(value) - HEADER_BYTES)
 
 
+def schema_id(value: Column) -> Column:
+    """The schema id the header names; null without a whole header that starts with a zero byte."""
+    number = F.conv(F.hex(F.substring(value, 2, 4)), 16, 10).cast("long")
+    whole = (F.length(value) >= HEADER_BYTES) & (F.substring(value, 1, 1) == F.lit(b"\x00"))
+    return F.when(whole, number)
+
+
 def add_wire_header(payload: Column, schema_id: int) -> Column:
     """``payload`` behind a header that names ``schema_id``."""
     return F.concat(F.lit(b"\x00" + schema_id.to_bytes(4, "big")), payload)

@@ -1,6 +1,12 @@
 from tidegate.plans.connectors import connector
 from tidegate.plans.ingest import ingest, ingest_all
-from tidegate.plans.streams import decode_messages, on_time_to_text, windows_to_csv
+from tidegate.plans.streams import (
+    decode_messages,
+    on_time_to_text,
+    unknown_messages,
+    unknown_to_files,
+    windows_to_csv,
+)
 
 __all__ = [
     "connector",
@@ -8,5 +14,7 @@ __all__ = [
     "ingest",
     "ingest_all",
     "on_time_to_text",
+    "unknown_messages",
+    "unknown_to_files",
     "windows_to_csv",
 ]

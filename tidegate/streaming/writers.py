@@ -44,6 +44,14 @@ def write_text_stream(
     return _start(writer, path, checkpoint, trigger)
 
 
+def write_parquet_stream(
+    rows: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Append rows as Parquet."""
+    writer = rows.writeStream.format("parquet").outputMode("append")
+    return _start(writer, path, checkpoint, trigger)
+
+
 def _start(writer, path: str, checkpoint: str, trigger: dict | None) -> StreamingQuery:
     options = {"path": path, "checkpointLocation": checkpoint}
     return writer.options(**options).trigger(**(trigger or TRIGGER)).start()

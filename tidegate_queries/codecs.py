@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from tidegate.functions import (
@@ -14,7 +16,7 @@ from tidegate.functions import (
     strip_wire_header,
 )
 from tidegate.functions.avro import CONSUMER_GOOD
-from tidegate.plans import decode_messages
+from tidegate.plans import decode_messages, unknown_messages
 from tidegate_queries.registry import GOODS, goods, query, table
 
 SCHEMA_ID = 258
@@ -165,6 +167,54 @@ def avro_roundtrip(spark, sf_dir):
     return plain_time(decode_messages(topic(events(spark, sf_dir)), CONSUMER_GOOD))
 
 
+# The topic's second schema: other order, one field renamed, one added.
+SECOND = json.loads(CONSUMER_GOOD)
+SECOND["fields"] = [
+    {"name": "channel", "type": "string", "default": "store"},
+    *reversed(SECOND["fields"][2:]),
+    {"name": "shop", "aliases": ["retailer"], "type": "string"},
+    SECOND["fields"][0],
+]
+SCHEMAS = {SCHEMA_ID: CONSUMER_GOOD, SCHEMA_ID + 1: json.dumps(SECOND)}
+UNKNOWN_ID = 70_000
+
+
+def topic_of_versions(rows):
+    """A third of the messages in each of the two schemas, a third in one nobody gave."""
+    online = F.concat(F.lit("web"), F.col("event_id") % 4).alias("channel")
+    renamed = F.struct(online, "txn_timestamp", "price", F.col("retailer").alias("shop"), "item")
+    first = add_wire_header(encode_avro(record(), CONSUMER_GOOD), SCHEMA_ID)
+    second = add_wire_header(encode_avro(renamed, SCHEMAS[SCHEMA_ID + 1]), SCHEMA_ID + 1)
+    other = add_wire_header(F.encode(good_line(), "UTF-8"), UNKNOWN_ID)
+    turn = F.col("event_id") % 3
+    value = F.when(turn == 0, first).when(turn == 1, second).otherwise(other)
+    return rows.select(F.col("event_id").cast("string").cast("binary").alias("key"), value.alias("value"))
+
+
+@query(
+    "avro_decode_by_schema_id",
+    f"""
+SELECT event_id::VARCHAR AS key, CASE WHEN event_id % 3 = 0 THEN 'store' ELSE 'web' || event_id % 4 END AS channel,
+  date_trunc('millisecond', txn_timestamp) AS txn_timestamp, price, retailer AS shop, item
+FROM {GOODS} WHERE event_id % 3 <> 2""",
+)
+def avro_decode_by_schema_id(spark, sf_dir):
+    """Each message by the schema it names, in the fields of the second."""
+    messages = topic_of_versions(events(spark, sf_dir))
+    return plain_time(decode_messages(messages, SCHEMAS[SCHEMA_ID + 1], schemas=SCHEMAS))
+
+
+@query(
+    "avro_unknown_schema_ids",
+    f"""
+SELECT event_id::VARCHAR AS key, '0000011170' || hex(encode({GOOD_LINE})) AS value,
+  {UNKNOWN_ID}::BIGINT AS schema_id FROM {GOODS} WHERE event_id % 3 = 2""",
+)
+def avro_unknown_schema_ids(spark, sf_dir):
+    unknown = unknown_messages(topic_of_versions(events(spark, sf_dir)), SCHEMAS)
+    return unknown.select(F.col("key").cast("string").alias("key"), F.hex("value").alias("value"), "schema_id")
+
+
 @query(
     "message_frame",
     f"""
