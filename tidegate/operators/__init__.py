@@ -1,5 +1,6 @@
 from tidegate.operators.lateness import flag_late
+from tidegate.operators.slowest import flag_late_by_slowest
 from tidegate.operators.validation import validate
 from tidegate.operators.windows import tumbling_aggregate
 
-__all__ = ["flag_late", "tumbling_aggregate", "validate"]
+__all__ = ["flag_late", "flag_late_by_slowest", "tumbling_aggregate", "validate"]

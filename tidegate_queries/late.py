@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.functions import parse_delimited
-from tidegate.operators import flag_late
+from tidegate.operators import flag_late, flag_late_by_slowest
 from tidegate.streaming import hold_late_records, rocksdb_state, split_late_stream
 from tidegate.streaming.late_buffer import OUTPUT
 from tidegate.streaming.late_split import LATE, MALFORMED
@@ -25,16 +25,19 @@ SELECT event_id, coalesce(ts < top - INTERVAL 3001 MILLISECOND, false) AS late F
         FROM events))"""
 
 
-def replayed(spark, sf_dir):
+def arrivals(spark, sf_dir):
     """Events of three sources; every tenth event arrives forty places late."""
     held_back = F.when(F.col("event_id") % 10 == 0, 40).otherwise(0)
-    arrivals = table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events").select(
         "event_id",
         "ts",
         (F.col("user_id") % 3).alias("source"),
         (F.col("event_id") + held_back).alias("arrival"),
     )
-    return flag_late(arrivals, "source", "arrival", "ts")
+
+
+def replayed(spark, sf_dir):
+    return flag_late(arrivals(spark, sf_dir), "source", "arrival", "ts")
 
 
 @query("late_records", f"SELECT event_id FROM ({REPLAY}) WHERE late")
@@ -47,6 +50,38 @@ def on_time_records(spark, sf_dir):
     return replayed(spark, sf_dir).where("NOT late").select("event_id")
 
 
+def slowest(active: str) -> str:
+    """The replay under the slowest of the sources that ``active`` holds for, one record a second."""
+    sources = range(3)
+    tops = ", ".join(
+        f"max(ts) FILTER (source = {s}) OVER before AS top{s}, max(arrival) FILTER (source = {s}) OVER before AS seen{s}"
+        for s in sources
+    )
+    least = ", ".join(f"CASE WHEN {active.format(s)} THEN top{s} END" for s in sources)
+    return f"""
+SELECT event_id FROM (
+  SELECT event_id, ts, max(least({least})) OVER (ORDER BY arrival) AS reached FROM (
+    SELECT *, {tops} FROM (SELECT *, user_id % 3 AS source,
+        event_id + CASE WHEN event_id % 10 = 0 THEN 40 ELSE 0 END AS arrival FROM events)
+    WINDOW before AS (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)))
+WHERE ts < reached - INTERVAL 3001 MILLISECOND"""
+
+
+@query("late_records_min_source", slowest("seen{0} IS NOT NULL"))
+def late_records_min_source(spark, sf_dir):
+    """One watermark for the stream, that of the slowest source."""
+    flagged = flag_late_by_slowest(arrivals(spark, sf_dir), "source", "arrival", "ts")
+    return flagged.where("late").select("event_id")
+
+
+@query("late_records_idle_sources", slowest("seen{0} >= arrival - 3"))
+def late_records_idle_sources(spark, sf_dir):
+    """The same, without waiting for sources that brought nothing for three seconds."""
+    timed = arrivals(spark, sf_dir).withColumn("clock", F.timestamp_seconds("arrival"))
+    flagged = flag_late_by_slowest(timed, "source", "arrival", "ts", clock_col="clock", idle_ms=3000)
+    return flagged.where("late").select("event_id")
+
+
 # Every tenth event comes one batch after its neighbours.
 BATCHES = f"""
 WITH arrived AS (
