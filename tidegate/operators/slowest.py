@@ -78,9 +78,9 @@ def flag_late_by_slowest(
         column = pa.array(reached, pa.int64(), mask=reached == NONE)
         return kept.drop_columns(INNER[1:]).append_column("__reached", column)
 
-    # A stream without any block has no top before it; all blocks are one source's ranges.
+    # One row per block: with blocks of 2^16 places, 15 million for 10^12 records.
     tops = narrow.groupBy("__block").applyInArrow(top_of_block, "__block bigint, __top bigint")
-    before = with_earlier_top(tops.withColumn("__all", F.lit(0)), "__all", "__block", "__top", chunk, 1)
+    before = with_earlier_top(tops.withColumn("__all", F.lit(0)), "__all", "__block", "__top", chunk, 0)
     before = before.select(F.col("__block").alias("__of"), "__earlier")
     columns = [f for f in whole.schema.fields if f.name not in INNER[1:]]
     inner = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in columns)
@@ -139,12 +139,11 @@ def replay(table: pa.Table, idle: int | None) -> tuple[pa.Table, np.ndarray]:
     codes = sources.combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
     of_row, of_seed = codes[: len(rows)], codes[len(rows) :]
     seed_top, seed_seen = _numbers(seeds["__micros"]), _numbers(seeds["__clock"])
-    places = np.arange(len(rows))
     for source in np.unique(codes):
-        mine, carry = np.flatnonzero(of_row == source), np.flatnonzero(of_seed == source)
+        mine, carry = of_row == source, np.flatnonzero(of_seed == source)
         start = (seed_top[carry[0]], seed_seen[carry[0]]) if len(carry) else (NONE, NONE)
         top = np.maximum.accumulate(np.concatenate([[start[0]], moments[mine]]))
-        before = np.searchsorted(mine, places)
+        before = np.cumsum(mine) - mine
         state = top[before]
         active = state > NONE
         if idle is not None:
