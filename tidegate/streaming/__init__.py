@@ -1,12 +1,15 @@
 from tidegate.streaming.late_buffer import hold_late_records, rocksdb_state
+from tidegate.streaming.late_records import late_records_to_files, route_late_records
 from tidegate.streaming.late_split import merge_spans, read_spans, split_late_stream
 from tidegate.streaming.writers import write_text_stream, write_windows_csv
 
 __all__ = [
     "hold_late_records",
+    "late_records_to_files",
     "merge_spans",
     "read_spans",
     "rocksdb_state",
+    "route_late_records",
     "split_late_stream",
     "write_text_stream",
     "write_windows_csv",

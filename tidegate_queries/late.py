@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidegate.functions import parse_delimited
 from tidegate.operators import flag_late, flag_late_by_slowest
-from tidegate.streaming import hold_late_records, rocksdb_state, split_late_stream
+from tidegate.streaming import hold_late_records, late_records_to_files, rocksdb_state, split_late_stream
 from tidegate.streaming.late_buffer import OUTPUT
 from tidegate.streaming.late_split import LATE, MALFORMED
 from tidegate.workspace import fresh_folder
@@ -102,8 +102,8 @@ SPLIT = ["event_id", "value", "batch_id", "route"]
 ROUTED = "event_id LONG, value STRING, item STRING, batch_id INT, route STRING"
 
 
-def split_replay(spark: SparkSession, sf_dir: str, folder: str, **settings) -> str:
-    """Land the events batch by batch and split each; gives the folder of the result."""
+def replay(spark: SparkSession, sf_dir: str, folder: str, run) -> None:
+    """Land the events batch by batch, and ``run`` the stream of them over each."""
     rows = lines(goods(table(spark, sf_dir, "events"))).select("event_id", "value")
     low, span = id_range(rows)
     place = F.expr(f"(event_id - {low}) * {SLICES} div {span}")
@@ -113,13 +113,20 @@ def split_replay(spark: SparkSession, sf_dir: str, folder: str, **settings) -> s
         near = (F.col("event_id") >= first) & (F.col("event_id") < end)
         arrived = rows.where(near & (batch == number))
         arrived.write.mode("append").parquet(f"{folder}/arrived")
-        stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/arrived")
-        parsed = parse_delimited(stream)
-        finish(
-            split_late_stream(
-                parsed, f"{folder}/split", f"{folder}/checkpoint", trigger=NOW, **settings
-            )
-        )
+        run(arriving(spark, folder))
+
+
+def arriving(spark: SparkSession, folder: str) -> DataFrame:
+    return parse_delimited(spark.readStream.schema("event_id LONG, value STRING").parquet(f"{folder}/arrived"))
+
+
+def split_replay(spark: SparkSession, sf_dir: str, folder: str, **settings) -> str:
+    """Split the events' stream; gives the folder of the result."""
+
+    def run(parsed):
+        finish(split_late_stream(parsed, f"{folder}/split", f"{folder}/checkpoint", trigger=NOW, **settings))
+
+    replay(spark, sf_dir, folder, run)
     return f"{folder}/split"
 
 
@@ -173,16 +180,48 @@ def late_buffer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(OUTPUT).parquet(f"{folder}/expired")
 
 
+@query("late_records_one_operator", f"{BATCHES} SELECT item, line AS value, route FROM routed")
+def late_records_one_operator(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records of the stream by route: the late ones as their buffers hand them over."""
+    folder = fresh_folder(spark, "late-records")
+
+    trigger, schema = {"processingTime": "500 milliseconds"}, "item STRING, value STRING, route STRING"
+    read = 0
+
+    def start(parsed):
+        return late_records_to_files(
+            parsed, f"{folder}/routed", f"{folder}/checkpoint", trigger, place_cols=["event_id"]
+        )
+
+    def run(parsed):  # timers keep the stream going, so it is stopped when it has read what landed
+        nonlocal read
+        landed = spark.read.parquet(f"{folder}/arrived").count()
+        watch(start(parsed), landed - read, lambda step: step.numInputRows)
+        read = landed
+
+    replay(spark, sf_dir, folder, run)
+    waiting = read - spark.read.schema(schema).parquet(f"{folder}/routed").count()
+    watch(start(arriving(spark, folder)), waiting, given("routed"))
+    return spark.read.schema(schema).parquet(f"{folder}/routed")
+
+
+def given(metric: str):
+    """How many rows a step gave, by what it observed."""
+    return lambda step: step.observedMetrics[metric]["rows"] if metric in step.observedMetrics else 0
+
+
 def drain(started, expected: int) -> None:
     """Stop a stream that has timers, and so never ends, once it gave ``expected`` rows."""
-    out = {}
+    watch(started, expected, given("expired"))
+
+
+def watch(started, expected: int, rows) -> None:
+    """Stop a stream once the ``rows`` of its steps come to ``expected``."""
+    seen = {}
     try:
-        while sum(out.values()) < expected:
+        while sum(seen.values()) < expected:
             if started.awaitTermination(1):  # raises what made it fail, if anything did
                 raise RuntimeError("The stream ended before its buffers expired")
-            for step in started.recentProgress:
-                seen = step.observedMetrics.get("expired")
-                if seen is not None:
-                    out[step.batchId] = seen["rows"]
+            seen |= {step.batchId: rows(step) for step in started.recentProgress}
     finally:
         started.stop()
