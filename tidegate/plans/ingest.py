@@ -89,13 +89,17 @@ def ingest(
 
 
 def plan_checks(df: DataFrame, checks: Mapping[str, Mapping] | None) -> ValidationSuite:
-    """The checks a job's config lists, in its order."""
+    """The checks a job's config lists, in its order.
+
+    ``expect_unique`` beside the key check's ``cols_to_check`` is for nearly unique keys.
+    """
     if not checks or not checks.get("req_validations"):
         raise ValueError("The validation phase needs req_validations")
     required = checks["req_validations"]
     columns = {kind: list(setting["cols_to_check"]) for kind, setting in required.items()}
     keys = columns.get(PRIMARY_KEY) or list(checks.get("primary_key_cols", []))
-    return validate(df, list(required), keys, columns.get(NULLS))
+    expect_unique = bool(required.get(PRIMARY_KEY, {}).get("expect_unique"))
+    return validate(df, list(required), keys, columns.get(NULLS), expect_unique)
 
 
 def ingest_all(

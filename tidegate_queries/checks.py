@@ -118,6 +118,39 @@ def validation_suite(spark, sf_dir):
     return suite.dataset_level.drop("ts")
 
 
+PART_KEY = ["l_orderkey", "l_partkey", "l_suppkey"]
+PART_DUPLICATES = """
+SELECT to_json({'l_orderkey': l_orderkey, 'l_partkey': l_partkey, 'l_suppkey': l_suppkey})::VARCHAR
+    AS observed_record_pk, count(*) AS observed_count
+FROM lineitem GROUP BY l_orderkey, l_partkey, l_suppkey HAVING count(*) > 1"""
+
+
+@query("pk_duplicates_nearly_unique", PART_DUPLICATES)
+def pk_duplicates_nearly_unique(spark, sf_dir):
+    """Keys of which hardly any repeats: only rows of crowded hash buckets are counted by key."""
+    suite = validate(table(spark, sf_dir, "lineitem"), [PRIMARY_KEY], PART_KEY, expect_unique=True)
+    records = suite.results[PRIMARY_KEY].record_level
+    return records.select("observed_record_pk", "observed_count")
+
+
+@query(
+    "validation_suite_nearly_unique",
+    f"""
+SELECT 'primary_key_validation' AS validation_type, coalesce(sum(observed_count), 0) = 0 AS passed,
+  (SELECT count(*) FROM lineitem) AS total_records,
+  coalesce(sum(observed_count), 0)::BIGINT AS error_records
+FROM ({PART_DUPLICATES})
+UNION ALL
+SELECT 'null_validation', count(*) FILTER (nullif(l_returnflag, 'R') IS NULL) = 0, count(*),
+  count(*) FILTER (nullif(l_returnflag, 'R') IS NULL)
+FROM lineitem""",
+)
+def validation_suite_nearly_unique(spark, sf_dir):
+    lines = lines_with_gaps(spark, sf_dir)
+    suite = validate(lines, [PRIMARY_KEY, NULLS], PART_KEY, ["l_returnflag"], expect_unique=True)
+    return suite.dataset_level.drop("ts")
+
+
 @query("preview_rows", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 10")
 def preview_rows(spark, sf_dir):
     return preview(table(spark, sf_dir, "orders"), 10, ["o_orderkey"])
