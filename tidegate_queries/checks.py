@@ -118,11 +118,11 @@ def validation_suite(spark, sf_dir):
     return suite.dataset_level.drop("ts")
 
 
-PART_KEY = ["l_orderkey", "l_partkey", "l_suppkey"]
+PART_KEY = ["l_orderkey", "l_partkey"]
 PART_DUPLICATES = """
-SELECT to_json({'l_orderkey': l_orderkey, 'l_partkey': l_partkey, 'l_suppkey': l_suppkey})::VARCHAR
-    AS observed_record_pk, count(*) AS observed_count
-FROM lineitem GROUP BY l_orderkey, l_partkey, l_suppkey HAVING count(*) > 1"""
+SELECT to_json({'l_orderkey': l_orderkey, 'l_partkey': l_partkey})::VARCHAR AS observed_record_pk,
+  count(*) AS observed_count
+FROM lineitem GROUP BY l_orderkey, l_partkey HAVING count(*) > 1"""
 
 
 @query("pk_duplicates_nearly_unique", PART_DUPLICATES)
