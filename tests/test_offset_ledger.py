@@ -1,0 +1,126 @@
+"""Committed offsets in a ledger, and a start from it when the checkpoint is gone.
+
+A message topic is stood in for by a source over a Parquet folder: partitions, offsets and
+starting offsets have the form a topic's reader gives and takes.
+"""
+
+import json
+import time
+
+import pytest
+from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
+
+from tidegate.streaming import OffsetLedger, committed_offsets, offset_ledger, read_ledger, starting_offsets
+
+SCHEMA = "partition INT, offset LONG, value STRING"
+NOW = {"availableNow": True}
+
+
+class Range(InputPartition):
+    def __init__(self, partition, start, end):
+        super().__init__(partition)
+        self.partition, self.start, self.end = partition, start, end
+
+
+class Messages(DataSourceStreamReader):
+    """Message n of a partition is 'p-n'; a file tells how many each partition has."""
+
+    def __init__(self, options):
+        self.path = options["path"]
+        self.start = options.get("startingOffsets", "latest")
+
+    def _ends(self):
+        with open(self.path) as held:
+            return {"t": json.load(held)}
+
+    def initialOffset(self):
+        if self.start == "latest":
+            return self._ends()
+        given = json.loads(self.start)
+        return {"t": {p: 0 if o == offset_ledger.EARLIEST else o for p, o in given["t"].items()}}
+
+    def latestOffset(self):
+        return self._ends()
+
+    def partitions(self, start, end):
+        return [Range(p, start["t"].get(p, 0), e) for p, e in end["t"].items()]
+
+    def read(self, part):
+        for n in range(part.start, part.end):
+            yield int(part.partition), n, f"{part.partition}-{n}"
+
+
+class Topic(DataSource):
+    @classmethod
+    def name(cls):
+        return "twin_topic"
+
+    def schema(self):
+        return SCHEMA
+
+    def streamReader(self, schema):
+        return Messages(self.options)
+
+
+def sent(path, **counts):
+    path.write_text(json.dumps({p.lstrip("p"): n for p, n in counts.items()}))
+
+
+@pytest.fixture
+def run(spark, tmp_path):
+    spark.dataSource.register(Topic)
+    ledger = OffsetLedger(spark, f"{tmp_path}/ledger", ["lines"])
+    spark.streams.addListener(ledger)
+
+    def over(checkpoint, start, name="lines"):
+        stream = spark.readStream.format("twin_topic").option("path", f"{tmp_path}/topic.json")
+        writer = stream.option("startingOffsets", start).load().writeStream.queryName(name)
+        writer = writer.option("checkpointLocation", f"{tmp_path}/{checkpoint}").trigger(processingTime="200 milliseconds")
+        query = writer.format("parquet").option("path", f"{tmp_path}/out-{checkpoint}").start()
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        end = time.time() + 10
+        while name == "lines" and time.time() < end and committed_offsets(spark, f"{tmp_path}/ledger", name) is None:
+            time.sleep(0.2)
+        return sorted(r.value for r in spark.read.schema(SCHEMA).parquet(f"{tmp_path}/out-{checkpoint}").collect())
+
+    yield over
+    spark.streams.removeListener(ledger)
+
+
+def test_a_lost_checkpoint_loses_no_message(spark, tmp_path, run):
+    topic, ledger = tmp_path / "topic.json", f"{tmp_path}/ledger"
+    assert starting_offsets(spark, ledger, "lines", "latest") == "latest"
+    sent(topic, p0=2, p1=1)
+    first = run("one", json.dumps({"t": {"0": 0, "1": 0}}))
+    assert first == ["0-0", "0-1", "1-0"]
+    assert json.loads(committed_offsets(spark, ledger, "lines")) == {"t": {"0": 2, "1": 1}}
+    sent(topic, p0=4, p1=1, p2=1)  # while no stream runs; a partition is new
+    assert run("lost", "latest", name="other") == []  # what a start without the ledger would read
+    start = starting_offsets(spark, ledger, "lines", "latest", {"t": range(3)})
+    assert json.loads(start) == {"t": {"0": 2, "1": 1, "2": offset_ledger.EARLIEST}}
+    assert run("two", start) == ["0-2", "0-3", "2-0"]
+    assert json.loads(committed_offsets(spark, ledger, "lines")) == {"t": {"0": 4, "1": 1, "2": 1}}
+    rows = read_ledger(spark, ledger, "lines").collect()
+    assert sum(r.rows for r in rows) >= 3 and {r.source for r in rows} == {0}
+    assert read_ledger(spark, ledger, "other").count() == 0
+
+
+def test_the_ledger_keeps_a_bounded_number_of_entries(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(offset_ledger, "KEPT", 3)
+    ledger = OffsetLedger(spark, str(tmp_path), ["q"])
+
+    def step(batch, end):
+        source = type("S", (), {"endOffset": end, "startOffset": None, "description": "d", "numInputRows": 1})
+        at = f"2024-01-01T00:00:{batch:02d}.000Z"
+        progress = {"name": "q", "runId": "r", "batchId": batch, "sources": [source], "timestamp": at}
+        return type("E", (), {"progress": type("P", (), progress)})
+
+    for batch in range(8):
+        ledger.onQueryProgress(step(batch, str(batch)))
+    ledger.onQueryProgress(step(8, "7"))  # nothing moved
+    assert sorted(r.batch_id for r in read_ledger(spark, str(tmp_path), "q").collect()) == [5, 6, 7]
+    assert committed_offsets(spark, str(tmp_path), "q") == "7"
