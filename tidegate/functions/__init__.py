@@ -1,7 +1,13 @@
 from tidegate.functions.avro import decode_avro, encode_avro
 from tidegate.functions.delimited import delimited_line, parse_delimited
 from tidegate.functions.versions import decode_versions, is_known
-from tidegate.functions.wire import add_wire_header, message_frame, schema_id, strip_wire_header
+from tidegate.functions.wire import (
+    add_wire_header,
+    message_frame,
+    message_id,
+    schema_id,
+    strip_wire_header,
+)
 
 __all__ = [
     "add_wire_header",
@@ -11,6 +17,7 @@ __all__ = [
     "encode_avro",
     "is_known",
     "message_frame",
+    "message_id",
     "parse_delimited",
     "schema_id",
     "strip_wire_header",

@@ -8,7 +8,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegate.columns import named
+
 HEADER_BYTES = 5
+ID_HEADER = "message-id"
 
 
 def strip_wire_header(value: Column) -> Column:
@@ -28,9 +31,31 @@ def add_wire_header(payload: Column, schema_id: int) -> Column:
     return F.concat(F.lit(b"\x00" + schema_id.to_bytes(4, "big")), payload)
 
 
-def message_frame(df: DataFrame, key: Column, payload: Column, schema_id: int) -> DataFrame:
-    """Rows as ``(key, value)`` messages, ready for a topic sink."""
-    return df.select(
+def message_frame(
+    df: DataFrame, key: Column, payload: Column, schema_id: int, id_cols: list[str] | None = None
+) -> DataFrame:
+    """Rows as ``(key, value)`` messages, ready for a topic sink.
+
+    With ``id_cols``, the columns that tell a row from all others, each message also has
+    ``headers`` with an id made of them. A row that is sent again, by a retried task or a
+    repeated batch, is sent under the same id, and ``drop_repeats`` reads it once.
+    """
+    columns = [
         F.encode(key.cast("string"), "UTF-8").alias("key"),
         add_wire_header(payload, schema_id).alias("value"),
-    )
+    ]
+    if id_cols:
+        columns.append(F.array(F.struct(F.lit(ID_HEADER).alias("key"), _id(id_cols).alias("value"))).alias("headers"))
+    return df.select(*columns)
+
+
+def _id(columns: list[str]) -> Column:
+    # As JSON, so that neither nulls nor where one value ends can be mistaken.
+    whole = F.to_json(F.struct(*[named(c) for c in columns]), {"ignoreNullFields": "false"})
+    return F.unhex(F.sha2(whole, 256))
+
+
+def message_id(headers: Column) -> Column:
+    """The id in a message's headers; null without one."""
+    own = F.filter(headers, lambda header: header["key"] == ID_HEADER)
+    return F.try_element_at(own, F.lit(1))["value"]

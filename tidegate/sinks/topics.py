@@ -11,9 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 def write_topic(
     messages: DataFrame, servers: str, topic: str, props: Mapping[str, object] | None = None
 ) -> None:
-    """Send a batch of ``(key, value)`` messages."""
+    """Send a batch of ``(key, value)`` messages, with their ``headers`` if there are any."""
     options = topic_sink_options(servers, topic, props)
-    messages.select("key", "value").write.format("kafka").options(**options).save()
+    sendable(messages).write.format("kafka").options(**options).save()
 
 
 def write_topic_stream(
@@ -23,12 +23,17 @@ def write_topic_stream(
     checkpoint: str,
     props: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
-    """Send ``(key, value)`` messages as they arrive."""
+    """Send ``(key, value)`` messages as they arrive, with their ``headers`` if there are any."""
     options = topic_sink_options(servers, topic, props)
-    writer = messages.select("key", "value").writeStream.format("kafka").options(**options)
+    writer = sendable(messages).writeStream.format("kafka").options(**options)
     return writer.option("checkpointLocation", checkpoint).start()
 
 
+def sendable(messages: DataFrame) -> DataFrame:
+    """The columns that the sink takes."""
+    return messages.select(*[c for c in ("key", "value", "headers") if c in messages.columns])
+
+
 def topic_sink_options(
     servers: str, topic: str, props: Mapping[str, object] | None = None
 ) -> dict[str, object]:

@@ -7,11 +7,13 @@ from tidegate.streaming.offset_ledger import (
     read_ledger,
     starting_offsets,
 )
+from tidegate.streaming.repeats import drop_repeats
 from tidegate.streaming.writers import write_text_stream, write_windows_csv
 
 __all__ = [
     "OffsetLedger",
     "committed_offsets",
+    "drop_repeats",
     "hold_late_records",
     "late_records_to_files",
     "merge_spans",

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidegate.functions import parse_delimited
+from tidegate.functions import message_frame, parse_delimited, strip_wire_header
 from tidegate.functions.avro import CONSUMER_GOOD
 from tidegate.operators import tumbling_aggregate
 from tidegate.plans import windows_to_csv
-from tidegate.streaming import write_text_stream
+from tidegate.streaming import drop_repeats, rocksdb_state, write_text_stream
 from tidegate.workspace import fresh_folder
 from tidegate_queries.codecs import LINES, READABLE, lines, plain_time, topic
 from tidegate_queries.registry import GOODS, goods, query, table, table_stream
@@ -160,3 +160,26 @@ def stream_resume_from_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame
         marked = stream.withColumn("run", F.lit(run))
         land(marked, f"{folder}/rows", f"{folder}/checkpoint")
     return spark.read.schema(marked.schema).parquet(f"{folder}/rows")
+
+
+@query(
+    "stream_messages_read_once",
+    f"SELECT key, item || '|' || retailer || '|' || price AS payload FROM {GOODS}",
+)
+def stream_messages_read_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch of messages, and a third of it sent again, as after a retry."""
+    folder = fresh_folder(spark, "read-once")
+    rows = goods(table(spark, sf_dir, "events"))
+    payload = F.encode(F.concat_ws("|", "item", "retailer", "price"), "UTF-8")
+    place = {"topic": F.lit("goods"), "timestamp": F.current_timestamp()}
+    schema = "key BINARY, value BINARY, headers ARRAY<STRUCT<key: STRING, value: BINARY>>, topic STRING, timestamp TIMESTAMP"
+    for sent in (rows, rows.where("event_id % 3 = 0")):
+        messages = message_frame(sent, F.col("key"), payload, 258, id_cols=["event_id"])
+        messages.withColumns(place).write.mode("append").parquet(f"{folder}/topic")
+        stream = spark.readStream.schema(schema).parquet(f"{folder}/topic")
+        once = drop_repeats(stream, place_cols=("topic",))
+        with rocksdb_state(spark):
+            land(once.select("key", "value"), f"{folder}/rows", f"{folder}/checkpoint")
+    read = spark.read.schema("key BINARY, value BINARY").parquet(f"{folder}/rows")
+    body = F.decode(strip_wire_header(F.col("value")), "UTF-8")
+    return read.select(F.decode("key", "UTF-8").alias("key"), body.alias("payload"))
