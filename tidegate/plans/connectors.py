@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.sinks import write_file, write_table
+from tidegate.sinks import publish_file, read_published, write_file, write_table
 from tidegate.sources import read_file, read_table
 
 # The keys of a spec, by connector and by direction.
@@ -16,6 +16,8 @@ PLACE_KEYS = {
     "postgres": ("conn_id", "schema", "db_table"),
 }
 DIRECTION_KEYS = {"source": ("read_props",), "sink": ("write_mode", "write_props")}
+#: Asks a file sink for a new version behind a pointer, and a file source for the newest one.
+PUBLISH = "publish"
 RENAMED = {"conn_id": "db_conf_conn_id"}
 # Not needed, but it spares a file source the pass that infers column types.
 OPTIONAL_KEYS = {("local_file", "source"): ("schema",)}
@@ -36,6 +38,9 @@ class Connector:
         if self.direction != "source":
             raise ValueError("Cannot read from a sink")
         if self.connector_type == "local_file":
+            props = dict(self.arguments["read_props"] or {})
+            if props.pop("published", False):
+                return read_published(spark, **{**self.arguments, "read_props": props})
             return read_file(spark, **self.arguments)
         return read_table(spark, *self._database(connections))
 
@@ -43,7 +48,9 @@ class Connector:
         """Write ``df`` to the place a sink spec names."""
         if self.direction != "sink":
             raise ValueError("Cannot write to a source")
-        if self.connector_type == "local_file":
+        if self.connector_type == "local_file" and self.arguments["write_mode"] == PUBLISH:
+            publish_file(df, **{k: v for k, v in self.arguments.items() if k != "write_mode"})
+        elif self.connector_type == "local_file":
             write_file(df, **self.arguments)
         else:
             write_table(df, *self._database(connections))

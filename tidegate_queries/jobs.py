@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidegate.errors import IngestError
 from tidegate.operators.validation import NULLS, PRIMARY_KEY
-from tidegate.plans import ingest, ingest_all
+from tidegate.plans import ingest, ingest_all, read_run, run_jobs
 from tidegate.sources import read_file
 from tidegate.workspace import fresh_folder
 from tidegate_queries.registry import query, utc
@@ -88,3 +89,31 @@ def ingest_all_jobs(spark, sf_dir):
     orders = read_file(spark, f"{target}/orders", "orc").withColumn("dataset", F.lit("orders"))
     customers = read_file(spark, f"{target}/customer").withColumn("dataset", F.lit("customer"))
     return orders.unionByName(customers, allowMissingColumns=True)
+
+
+@query(
+    "ingest_run_restarted",
+    """
+SELECT 'orders' AS job, 'loaded' AS outcome, 1 AS attempt, (SELECT count(*) FROM orders) AS "rows",
+  (SELECT count(*) FROM orders) AS loaded
+UNION ALL SELECT 'customer', 'loaded', 2, (SELECT count(*) FROM customer), (SELECT count(*) FROM customer)""",
+)
+def ingest_run_restarted(spark, sf_dir):
+    """One of two jobs fails; run again, the run loads that one only. Sinks append, so a second load would show."""
+    folder = fresh_folder(utc(spark), "ingest-run")
+    keys = {"orders": "o_orderkey", "customer": "c_custkey"}
+    specs = {name: file_job(sf_dir, name, folder) for name in keys}
+    for spec in specs.values():
+        spec["target"]["write_mode"] = "append"
+    checks = {name: both_checks([key], [key]) for name, key in keys.items()}
+    broken = {**specs, "customer": file_job(f"{folder}/nowhere", "customer", folder)}
+    try:
+        run_jobs(spark, "nightly", f"{folder}/ledger", list(specs), broken, checks)
+    except IngestError as error:
+        if error.failed != ["customer"]:
+            raise
+    run_jobs(spark, "nightly", f"{folder}/ledger", list(specs), specs, checks)
+    loaded = [read_file(spark, f"{folder}/{name}").agg(F.count("*").alias("loaded")).withColumn("of", F.lit(name)) for name in keys]
+    counts = loaded[0].unionByName(loaded[1])
+    entries = read_run(spark, f"{folder}/ledger", "nightly")
+    return entries.join(counts, F.col("job") == F.col("of")).select("job", "outcome", "attempt", "rows", "loaded")

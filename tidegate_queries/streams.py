@@ -8,7 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidegate.functions import message_frame, parse_delimited, strip_wire_header
 from tidegate.functions.avro import CONSUMER_GOOD
-from tidegate.operators import tumbling_aggregate
+from tidegate.operators import roll_up, sketch_windows, tumbling_aggregate, with_estimate
+from tidegate.operators.sketches import standard_error
 from tidegate.plans import windows_to_csv
 from tidegate.streaming import drop_repeats, rocksdb_state, write_text_stream
 from tidegate.workspace import fresh_folder
@@ -57,6 +58,38 @@ def tumbling_window_agg(spark, sf_dir):
     return hourly(goods(table(spark, sf_dir, "events")))
 
 
+@query(
+    "distinct_users_rolled_up",
+    """
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS "rows",
+  true AS close, true AS as_direct
+FROM events GROUP BY 1, 2""",
+)
+def distinct_users_rolled_up(spark, sf_dir):
+    """Distinct users of each day from sketches of its hours.
+
+    ``close`` tells whether the estimate is within four standard errors of the exact count,
+    ``as_direct`` whether it is that of a sketch of the whole day.
+    """
+    events = table(spark, sf_dir, "events")
+    hours = sketch_windows(events, "ts", "event_type", "user_id")
+    days = with_estimate(roll_up(hours, "event_type"))
+    direct = with_estimate(roll_up(sketch_windows(events, "ts", "event_type", "user_id", "1 day"), "event_type"))
+    exact = events.groupBy(F.date_trunc("day", "ts").alias("window_start"), "event_type").agg(
+        F.count_distinct("user_id").alias("exact")
+    )
+    by = ["window_start", "event_type"]
+    known = direct.select(*by, F.col("distinct_items").alias("direct")).join(exact, by)
+    off = F.abs(F.col("distinct_items") - F.col("exact"))
+    return days.join(known, by).select(
+        F.date_format("window_start", "yyyy-MM-dd").alias("day"),
+        "event_type",
+        "rows",
+        (off <= 4 * standard_error() * F.col("exact")).alias("close"),
+        (F.col("distinct_items") == F.col("direct")).alias("as_direct"),
+    )
+
+
 # Every tenth event of the first half comes after all others, most when their windows have
 # closed.
 IN_TIME_WINDOWS = CLOSED_WINDOWS.replace(
