@@ -1,6 +1,11 @@
 import html
 import random
 import re
+import time
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.brute import SF_DIR
 from tidegate.llm import html_templates as ht
@@ -93,3 +98,82 @@ def test_broken_and_hostile_pages():
 
 def test_hosts():
     assert [ht.host_of(u) for u in ("http://u@A.b:80/x", "https://c?d", "//e", None, "")] == ["a.b", "c", "", "", ""]
+
+
+@pytest.mark.parametrize(
+    "frame",
+    [
+        '<article class="post comments-open">{}</article>',
+        '<main class="has-sidebar sidebar-left">{}</main>',
+        '<article class="hidden-gems">{}</article>',
+        '<article><section class="alert-systems">{}</section></article>',
+        '<div class="has-sidebar no-comments"><div class="sidebar-left"><article>{}</article></div></div>',
+        '<div id="hidden"><article class="footer-story">{}</article></div>',
+        '<article><figure class="related">{}</figure></article>',
+    ],
+)
+def test_a_name_alone_does_not_empty_an_article(frame):
+    page = "<body><div class='ad'>Buy</div>" + frame.format("<p>Story</p>") + "<footer>End</footer></body>"
+    assert ht.main_text(page, set(), set()) == "Story"
+
+
+@pytest.mark.parametrize(
+    "frame",
+    [
+        '<div class="cookie-notice">{}</div>', '<div class="ad-slot">{}</div>', '<div id="comment-list">{}</div>',
+        '<div class="share-buttons">{}</div>', '<section class="comments"><article>{}</article></section>',
+        '<article class="related">{}</article>', '<div class="footer-links">{}</div>', '<form class="post">{}</form>',
+    ],
+)
+def test_names_of_layout_are_layout(frame):
+    assert ht.main_text("<article><p>Story</p></article>" + frame.format("<p>Other</p>"), set(), set()) == "Story"
+    assert ht.main_text("<article><p>Story</p>" + frame.format("<p>Other</p>") + "</article>", set(), set()) == "Story"
+
+
+def test_names_do_not_decide_where_the_template_does(spark):
+    """Names that lie: the content element is found by what lies in it."""
+    rng = random.Random(3)
+    rows, want = [], {}
+    for i in range(30):
+        story = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(12)) for _ in range(rng.randrange(2, 6))]
+        notice = " ".join(f"n{rng.randrange(10**6)}" for _ in range(6))
+        rows.append(
+            (i, f"http://e.example/{i}",
+             f"<body><article class='tip'><p>{notice}</p></article><div class='sidebar'><h2>Title {i}</h2>"
+             + "".join(f"<p>{s}</p>" for s in story) + f"<div class='ad'>Buy {i}</div></div><div>{notice} end</div></body>")
+        )
+        want[i] = "\n".join([f"Title {i}", *story])
+    assert run(spark, rows) == want
+
+
+SF_LARGE = "/root/testdata/sf0.1"
+
+
+def test_the_template_tells_slots_apart_without_any_names(spark):
+    """The tables' pages with all elements called alike: text of articles stays, that around them goes."""
+    pages = spark.read.parquet(f"{SF_LARGE}/pages.parquet").select("page_id", "url", "html")
+    bare = F.regexp_replace(F.regexp_replace("html", "(</?)(nav|article|footer|header|aside|main)(?=[ >])", "$1div"), ' (class|id|role)="[^"]*"', "")
+    got = {r.page_id: r.text.split("\n") for r in ht.extract(pages.withColumn("html", bare)).collect()}
+    kept, layout, wanted, large, exact = 0, 0, 0, 0, 0
+    hosts = {}
+    rows = pages.collect()
+    for r in rows:
+        hosts.setdefault(ht.host_of(r.url), set()).add(r.html)
+    for r in rows:
+        if len(hosts[ht.host_of(r.url)]) < ht.MIN_PAGES:
+            continue
+        want = article_of(r.html).split("\n")
+        large, wanted, exact = large + 1, wanted + len(want), exact + (got[r.page_id] == want)
+        kept += sum((Counter(want) & Counter(got[r.page_id])).values())
+        layout += sum((Counter(got[r.page_id]) - Counter(want)).values())
+    print(f"{exact} of {large} pages exact, {kept} of {wanted} lines kept, {layout} lines of layout left")
+    assert large > 2_000 and kept == wanted and layout < 500
+
+
+def test_time_is_in_proportion_to_the_page():
+    open_and_unmatched = "<div>" * 40_000 + "</p></li></x>" * 20_000
+    lists = "<li><ul>" + "<x>" * 20_000 + "<li>a</li>" * 20_000
+    start = time.perf_counter()
+    assert ht.main_text(open_and_unmatched, set(), set()) == ""
+    assert ht.main_text(lists, set(), set()).count("a") == 20_000
+    assert time.perf_counter() - start < 10
