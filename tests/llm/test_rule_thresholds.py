@@ -81,30 +81,84 @@ def test_the_binomial_is_exact(spark):
     assert p == pytest.approx(binomial_log(900, 100_000, 0.01), rel=1e-6)
 
 
-def test_cutoffs_keep_the_risk_in_every_stratum(spark):
-    docs = documents(spark, "/root/testdata/sf0.1")
-    known = labels(spark, "/root/testdata/sf0.1")
-    stats = rt.statistics(rt.text_counts(docs)).persist()
-    cuts = {r["stratum"]: r for r in rt.thresholds(stats, known).collect()}
-    good = stats.join(known.where("quality = 1"), "doc_id").toPandas()
-    bad = stats.join(known.where("quality = 0"), "doc_id").toPandas()
-    tests = len(cuts) * sum(map(len, rt.RULES.values()))
-    certified = 0
-    for rule, grid in rt.RULES.items():
-        for stratum, row in cuts.items():
-            mine = good[good["lang"] == stratum][rule]
-            passing = [
-                c for c in grid
-                if binomial_log(int((mine > c).sum()), len(mine), rt.RISK / len(rt.RULES)) <= rt.ALPHA / tests
-            ]
-            assert row[f"{rule}_cut"] == (min(passing) if passing else None)
-            certified += bool(passing)
-    assert certified > 0
-    rejected = lambda df: sum(
-        any(cuts[r["lang"]][f"{rule}_cut"] is not None and r[rule] > cuts[r["lang"]][f"{rule}_cut"] for rule in rt.RULES)
-        for _, r in df.iterrows()
-    ) / len(df)
-    assert rejected(good) < rt.RISK and rejected(bad) > 0.5
+def plain_statistics(text):
+    c, text = counts(text), text or ""
+    lines = sum(bool(words(x)) for x in text.split("\n"))
+    per = lambda x, n: x / n if n else 0.0
+    return {
+        "symbols_per_word": per(c[2], c[0]),
+        "repeated_share": per(c[4], c[0]),
+        "duplicate_line_share": per(c[3], lines),
+        "exclamations_per_word": per(text.count("!"), c[0]),
+        "chars_per_word": per(c[1], c[0]),
+    }
+
+
+def plain_cutoffs(rows, quality):
+    """{lang: {rule: cutoff}} from (doc_id, text, lang) rows and {doc_id: quality}."""
+    said = {}
+    for doc_id, text, lang in rows:
+        if quality.get(doc_id) is not None:
+            said.setdefault((lang, text or ""), []).append(quality[doc_id])
+    good = {}
+    for (lang, text), marks in said.items():
+        if min(marks) == 1:
+            good.setdefault(lang, []).append(plain_statistics(text))
+    cuts = {}
+    for lang, stats in good.items():
+        loose = {r: sorted(grid, reverse=True) for r, grid in rt.RULES.items()}
+        n, chosen = len(stats), dict.fromkeys(rt.RULES)
+        for i in range(max(map(len, loose.values()))):
+            at = {r: grid[min(i, len(grid) - 1)] for r, grid in loose.items()}
+            any_ = sum(any(x[r] > c for r, c in at.items()) for x in stats)
+            if binomial_log(any_, n, rt.RISK) > rt.ALPHA / len(good):
+                break
+            for r, c in at.items():
+                if sum(x[r] > c for x in stats) * len(rt.RULES) <= n * rt.RISK:
+                    chosen[r] = c
+        cuts[lang] = chosen
+    return cuts
+
+
+def plain_kept(text, cuts):
+    c = counts(text)
+    if c[0] < 50 or 100 * c[4] > 50 * c[0]:
+        return False
+    stats = plain_statistics(text)
+    return not any(cut is not None and stats[r] > cut for r, cut in cuts.items())
+
+
+@pytest.mark.parametrize("sf, languages", [("sf0.01", 1), ("sf0.1", 4)])
+def test_kept_equals_brute_force(spark, sf, languages):
+    docs, known = documents(spark, f"/root/testdata/{sf}"), labels(spark, f"/root/testdata/{sf}")
+    rows = [(r.doc_id, r.text, r.lang) for r in docs.collect()]
+    quality = {r.doc_id: r.quality for r in known.collect()}
+    cuts = plain_cutoffs(rows, quality)
+    assert sum(any(c is not None for c in mine.values()) for mine in cuts.values()) == languages
+    got = {r.doc_id: (r.kept, r.base_failed) for r in rt.judge(docs, known).collect()}
+    assert {d: k for d, (k, _) in got.items()} == {d: plain_kept(t, cuts.get(lang, {})) for d, t, lang in rows}
+    assert any(not kept and not failed for kept, failed in got.values())  # the method has a say
+    good = [d for d, _, _ in rows if quality.get(d) == 1 and not got[d][1]]
+    bad = [d for d, _, _ in rows if quality.get(d) == 0]
+    assert sum(not got[d][0] for d in good) / len(good) < rt.RISK
+    assert sum(not got[d][0] for d in bad) / len(bad) > 0.5
+
+
+def test_copies_of_a_text_change_no_cutoff(spark):
+    docs, known = documents(spark).select("doc_id", "text", "lang"), labels(spark).select("doc_id", "quality")
+
+    def cutoffs(d, k):
+        return sorted(map(tuple, rt.thresholds(rt.statistics(rt.text_counts(d)), k).collect()), key=str)
+
+    ids = F.sequence(F.lit(10**9).cast("long"), F.lit(10**9 + 2_999).cast("long"))
+    few = docs.where("doc_id = 0").select(F.explode(ids).alias("doc_id"), "text", "lang")
+    marked = few.select("doc_id", F.lit(1).cast("int").alias("quality"))
+    plain = cutoffs(docs, known)
+    assert any(c is not None for row in plain for c in row[1:])
+    one = few.where(F.col("doc_id") == 10**9)
+    assert cutoffs(docs.union(few), known.union(marked)) == cutoffs(docs.union(one), known.union(marked))
+    alone = cutoffs(few, marked)
+    assert [row[1:] for row in alone] == [(None,) * len(rt.RULES)]  # 3,000 copies are one trial
 
 
 def binomial_log(k, n, p):

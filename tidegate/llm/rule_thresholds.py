@@ -2,13 +2,19 @@
 
 Every text gets counts and, from them, the statistics that the rules look at. A
 rule rejects texts whose statistic is beyond a cutoff. Cutoffs are not guessed:
-over the labelled good documents of a stratum (a language), a cutoff is certified
-if the exact binomial test says that it rejects at most ``RISK / rules`` of good
-documents, at level ``ALPHA`` divided by the number of tests in that stratum
-(Bonferroni over rules and cutoffs, and over strata). Of the certified cutoffs the
-one that rejects most is taken; with none the rule is off in that stratum. So, with
-probability ``1 - ALPHA``, no stratum loses more than ``RISK`` of its good documents
-to these rules.
+in each stratum (a language) the rules are tightened together, step by step from their
+loosest cutoffs, in an order fixed beforehand. A step is certified if the exact binomial
+test, over the labelled good texts of the stratum, says that the rules together reject at
+most ``RISK`` of good texts. The first step that fails ends the sequence, so only the strata
+need correction (Bonferroni): each is tested at level ``ALPHA`` divided by their number. Up
+to the last certified step a rule then goes as far as it rejects no more than its even share
+of ``RISK`` in the holdout; that rejects no text which the certified step would keep. Without
+a certified step the rules are off in that stratum. So, with probability ``1 - ALPHA``, no
+stratum loses more than ``RISK`` of its good texts to these rules.
+
+The trials are the different texts of a stratum: copies of one text are one trial, whatever
+number of labelled rows have it. Near copies are trials of their own; as far as they are not
+independent the bound is that of a holdout that is drawn in groups, and weaker.
 
 Built-in functions only; the counts are made within each row, without a shuffle.
 """
@@ -16,6 +22,7 @@ Built-in functions only; the counts are made within each row, without a shuffle.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +47,7 @@ RULES: dict[str, list[float]] = {
 
 
 def text_counts(docs: DataFrame) -> DataFrame:
-    """doc_id, lang and the counts of each text; null texts have no words and count 0.
+    """doc_id, lang, content (a hash) and the counts of each text; null texts have no words and count 0.
 
     n_repeat_words: windows of three words are hashed (64 bits) and sorted with
     their places; equal neighbours repeat, and the words they cover are counted.
@@ -60,6 +67,7 @@ def text_counts(docs: DataFrame) -> DataFrame:
     counted = tokens.select(
         "doc_id",
         "lang",
+        F.xxhash64("text").alias("content"),
         F.size("tokens").cast("long").alias("n_words"),
         F.char_length(F.array_join("tokens", "")).cast("long").alias("word_chars"),
         (F.char_length("text") - F.char_length(F.regexp_replace("text", r"[#*$%&|<>]+", "")))
@@ -86,6 +94,7 @@ def text_counts(docs: DataFrame) -> DataFrame:
     return placed.select(
         "doc_id",
         "lang",
+        "content",
         "n_words",
         "word_chars",
         "n_symbols",
@@ -142,40 +151,43 @@ def thresholds(
     risk: float = RISK,
     alpha: float = ALPHA,
 ) -> DataFrame:
-    """(stratum, <rule>...): each rule's certified cutoff by stratum, null where none is.
+    """(stratum, <rule>_cut ...): each rule's cutoff by stratum, null where none is certified.
 
-    The holdout is every labelled document; one with several labels counts as good
-    only if all say so.
+    The holdout is every different text with a label; one with several labels, on one row
+    or on copies, counts as good only if all say so.
     """
     rules = rules or RULES
-    good = (
+    looser = {rule: sorted(cuts, reverse=True) for rule, cuts in rules.items()}
+    steps = max(map(len, looser.values()))
+    quality = (
         fields(labels, "doc_id", "quality")
-        .groupBy("doc_id")
+        .groupBy(F.col("doc_id").alias("labelled"))
         .agg(F.min("quality").alias("quality"))
-        .where("quality = 1")
-        .select(F.col("doc_id").alias("good_id"))
     )
-    counts = [
-        F.sum((F.col(rule) > cut).cast("long")).alias(f"{rule}_{i}")
-        for rule, cuts in rules.items()
-        for i, cut in enumerate(cuts)
-    ]
-    held = (
-        stats.join(good, F.col("doc_id") == F.col("good_id"))
-        .groupBy(F.col("lang").alias("stratum"))
-        .agg(F.count("*").alias("good"), *counts)
+    texts = (
+        stats.join(quality, F.col("doc_id") == F.col("labelled"))
+        .groupBy(F.col("lang").alias("stratum"), "content")
+        .agg(F.min("quality").alias("quality"), *[F.max(rule).alias(rule) for rule in rules])
+        .where("quality = 1")
     )
+    over = {
+        rule: [F.col(rule) > cuts[min(i, len(cuts) - 1)] for i in range(steps)] for rule, cuts in looser.items()
+    }
+    counts = [F.count_if(test).alias(f"{rule}_{i}") for rule, tests in over.items() for i, test in enumerate(tests)]
+    together = [F.count_if(reduce(Column.__or__, tests)).alias(f"any_{i}") for i, tests in enumerate(zip(*over.values()))]
+    held = texts.groupBy("stratum").agg(F.count("*").alias("good"), *counts, *together)
     held = stored(held, "holdout-counts")
-    strata = max(1, held.count())
-    tests = strata * sum(map(len, rules.values()))
-    level, share = alpha / tests, risk / len(rules)
+    level = alpha / max(1, held.count())
+    passed = [at_most(F.col(f"any_{i}"), F.col("good"), risk) <= level for i in range(steps)]
+    failing = F.array_position(F.array(*passed), False)
+    certified = F.when(failing > 0, failing - 1).otherwise(steps)
     chosen = []
-    for rule, cuts in rules.items():
-        passing = [
-            F.when(at_most(F.col(f"{rule}_{i}"), F.col("good"), share) <= level, cut)
+    for rule, cuts in looser.items():
+        allowed = [
+            F.when((F.lit(i) < certified) & (F.col(f"{rule}_{i}") * len(rules) <= F.col("good") * risk), cut)
             for i, cut in enumerate(cuts)
         ]
-        chosen.append(F.array_min(F.array(*passing)).alias(f"{rule}_cut"))
+        chosen.append(F.array_min(F.array(*allowed)).alias(f"{rule}_cut"))
     return held.select("stratum", *chosen)
 
 
@@ -190,8 +202,9 @@ def judge(
     """One row per row of ``docs``: its counts, ``base_failed``, ``kept``, and the rules that reject it.
 
     A null or empty text has no words and fails the base rule. A null language is
-    a stratum. Repeated rows get equal answers. Without labels no rule is
-    certified and only the base rule decides. Columns other than doc_id, text,
+    a stratum. Repeated rows get equal answers, and copies of a text change no cutoff.
+    Without labels no rule is certified and only the base rule decides. Texts of any
+    length are read whole; an empty table gives no rows. Columns other than doc_id, text,
     lang and quality are ignored. Counts are made once and kept in the shared
     folder, as both the holdout and the verdict need them.
     """
