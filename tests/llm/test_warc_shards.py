@@ -90,3 +90,18 @@ def test_left_over_files_are_not_read(spark, tmp_path):
     with open(f"{tmp_path}/three/records/shard-999999-00000.warc.gz", "wb") as stray:
         stray.write(b"not an archive")
     assert found(ws.read(manifest, folder)) == expected(ROWS)
+
+
+def test_files_are_read_by_a_task_each(spark, tmp_path, monkeypatch):
+    pages = spark.range(400).selectExpr("id AS page_id", "'http://a' AS url", "repeat(sha2(string(id), 512), 40) AS html")
+    manifest = ws.write(pages, str(tmp_path), roll_bytes=20_000)
+    files = manifest.count()
+    assert files > 8
+
+    def tasks():
+        return len([n for n in ws.read(manifest, str(tmp_path)).rdd.glom().map(len).collect() if n])
+
+    assert tasks() == files
+    monkeypatch.setattr(ws, "READERS", 5)
+    assert tasks() == 5
+    assert ws.read(manifest, str(tmp_path)).count() == 400

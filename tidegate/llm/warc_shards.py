@@ -39,6 +39,8 @@ from tidegate.workspace import fresh_folder
 
 MIN_BYTES = 0
 ROLL_BYTES = 256 * 1024 * 1024
+#: Tasks that read files at most.
+READERS = 10_000
 LEVEL = 4
 DATE = "2024-01-01T00:00:00Z"
 EOL = b"\r\n"
@@ -278,7 +280,11 @@ RECORDS = (
 
 
 def read(manifest: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
-    """One row per record of the files in ``manifest``; ``payloads=False`` leaves the bodies out."""
+    """One row per record of the files in ``manifest``; ``payloads=False`` leaves the bodies out.
+
+    Each file is a task's work, up to ``READERS`` tasks. File names weigh nothing, so the number
+    is given: by their size alone all would be read in one task.
+    """
     at_folder = f"{folder}/records"
     names = [c.split()[0] for c in RECORDS.split(", ")][: None if payloads else -1]
     schema = pa.schema(
@@ -303,7 +309,7 @@ def read(manifest: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
                 if held:
                     yield pa.RecordBatch.from_pylist(held, schema=schema)
 
-    chosen = manifest.select("file").repartition("file")
+    chosen = manifest.select("file").repartition(max(1, min(READERS, manifest.count())))
     return chosen.mapInArrow(unpack, ", ".join(RECORDS.split(", ")[: len(names)]))
 
 
