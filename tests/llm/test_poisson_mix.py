@@ -77,9 +77,32 @@ def test_awkward_rows(spark, sources):
     ]
     rates = {r.source: r.rate for r in pm.source_rates(clash, draws=6_000).collect()}
     assert max(rates.values()) > pm.RATE_PER_DRAW and rates.keys() == {"a", "b", None}
-    want = expected([(r[0], r[3]) for r in AWKWARD], rates)
+    named = [r for r in AWKWARD if r[0] is not None]
+    want = expected([(r[0], r[3]) for r in named], rates)
     rows = mixed.select("doc_id", "copy").collect()
-    assert len(rows) == sum(want[r[0]] for r in AWKWARD)
+    assert sum(r.doc_id is not None for r in rows) == sum(want[r[0]] for r in named)
+    nameless = sorted(r.copy for r in rows if r.doc_id is None)
+    assert nameless == list(range(len(nameless))) and abs(len(nameless) - rates["b"]) < 6 * math.sqrt(rates["b"])
     empty = awkward(spark, empty=True)
     assert pm.mix(empty).collect() == []
     assert pm.mix(clash, weights={}).collect() == []
+
+
+def test_rows_without_id_have_counts_and_places_of_their_own(spark):
+    """A third of the rows has no id: they neither come or go together nor lie in one task."""
+    rows = spark.range(0, 9_000, 1, 4).selectExpr(
+        "IF(id % 3 = 0, NULL, id) AS doc_id", "concat('text ', id) AS text", "IF(id % 3 = 0, NULL, 'a') AS source"
+    )
+    mixed = pm.mix(rows)
+    assert [r.text for r in mixed.collect()] == [r.text for r in pm.mix(rows).collect()]
+    lost = mixed.where("doc_id IS NULL")
+    counts = lost.groupBy("text").count().select("count").distinct().count()
+    assert counts > 2 and abs(lost.count() - 9_000 / (1 + math.sqrt(2))) < 400
+    tasks = [sum(r.doc_id is None for r in part) for part in mixed.rdd.glom().collect()]
+    assert max(tasks) < 2 * sum(tasks) / len(tasks)
+
+
+def test_copies_of_a_row_lie_in_many_tasks(spark):
+    rows = spark.range(0, 9_000, 1, 4).selectExpr("IF(id % 3 = 0, 7, id) AS doc_id", "'t' AS text", "'a' AS source")
+    tasks = [sum(r.doc_id == 7 for r in part) for part in pm.mix(rows, draws=27_000).rdd.glom().collect()]
+    assert sum(n > 0 for n in tasks) > len(tasks) // 2

@@ -151,7 +151,8 @@ def test_copies_of_a_text_change_no_cutoff(spark):
         return sorted(map(tuple, rt.thresholds(rt.statistics(rt.text_counts(d)), k).collect()), key=str)
 
     ids = F.sequence(F.lit(10**9).cast("long"), F.lit(10**9 + 2_999).cast("long"))
-    few = docs.where("doc_id = 0").select(F.explode(ids).alias("doc_id"), "text", "lang")
+    text = " ".join(f"wort{i}" for i in range(60))
+    few = spark.range(1).select(F.explode(ids).alias("doc_id"), F.lit(text).alias("text"), F.lit("de").alias("lang"))
     marked = few.select("doc_id", F.lit(1).cast("int").alias("quality"))
     plain = cutoffs(docs, known)
     assert any(c is not None for row in plain for c in row[1:])

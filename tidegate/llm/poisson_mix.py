@@ -84,10 +84,11 @@ def mix(
     """The copies drawn, in random order: all columns of ``docs``, ``copy`` and ``shuffle_key``.
 
     A document with count k comes k times, with copy 0 .. k - 1; with count 0 it
-    does not come. Repeated rows (and rows without doc_id) get equal counts and
-    each is copied. Input columns called copy or shuffle_key, in any case, are
-    replaced. An empty table gives an empty result. ``weights`` is a small dict;
-    texts, null or long, are carried along unread.
+    does not come. Repeated rows get equal counts and each is copied; a row without
+    doc_id is known by a hash of all its columns instead. Copies with one shuffle key
+    (of repeated rows) are dealt by their place in the input as well, so no task gets them all.
+    Input columns called copy or shuffle_key, in any case, are replaced. An empty table
+    gives an empty result. ``weights`` is a small dict; texts, null or long, are carried along.
     """
     rates = stored(
         source_rates(docs, weights, temperature, draws).select(
@@ -105,11 +106,14 @@ def mix(
     place = {c: f"_{i}" for i, c in reversed(list(enumerate(docs.columns)))}
     lower = [c.lower() for c in docs.columns]
     doc_id, source = (F.col(f"_{lower.index(n)}") for n in ("doc_id", "source"))
+    whole = F.to_json(F.struct(*[F.col(p) for p in place.values()]))
+    nameless = F.concat(F.lit("row "), F.xxhash64(whole).cast("string"))
+    known = F.coalesce(doc_id.cast("string"), nameless)
     drawn = F.aggregate(
         F.sequence(F.lit(1), F.col("parts")),
         F.lit(0),
         lambda total, part: total
-        + F.size(F.filter("cdf", lambda c: c <= uniform(F.lit(seed), doc_id, part))),
+        + F.size(F.filter("cdf", lambda c: c <= uniform(F.lit(seed), known, part))),
     )
     return (
         docs.toDF(*[f"_{i}" for i in range(len(lower))])
@@ -117,8 +121,9 @@ def mix(
         .withColumn("count", drawn)
         .where("count > 0")
         .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("count") - 1)))
-        .withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit("order"), F.lit(seed), doc_id, "copy")))
-        .repartition("shuffle_key")
+        .withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit("order"), F.lit(seed), known, "copy")))
+        .withColumn("dealt", F.monotonically_increasing_id())
+        .repartition("shuffle_key", "dealt")
         .sortWithinPartitions("shuffle_key")
         .select(*[F.col(place[c]).alias(c) for c in kept], "copy", "shuffle_key")
     )
