@@ -180,11 +180,13 @@ def thresholds(
     level = alpha / max(1, held.count())
     passed = [at_most(F.col(f"any_{i}"), F.col("good"), risk) <= level for i in range(steps)]
     failing = F.array_position(F.array(*passed), False)
-    certified = F.when(failing > 0, failing - 1).otherwise(steps)
+    certified = F.when(failing > 0, failing - 1).otherwise(steps).alias("certified")
+    # Written, as each cutoff asks for it and would carry all the tests along.
+    held = stored(held.select("*", certified), "certified-steps")
     chosen = []
     for rule, cuts in looser.items():
         allowed = [
-            F.when((F.lit(i) < certified) & (F.col(f"{rule}_{i}") * len(rules) <= F.col("good") * risk), cut)
+            F.when((F.lit(i) < F.col("certified")) & (F.col(f"{rule}_{i}") * len(rules) <= F.col("good") * risk), cut)
             for i, cut in enumerate(cuts)
         ]
         chosen.append(F.array_min(F.array(*allowed)).alias(f"{rule}_cut"))
