@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import time
 
 import numpy as np
 from hypothesis import given, settings
@@ -140,3 +142,28 @@ def test_thresholds():
     assert pii.threshold(np.array([0.9, 0.8, 0.8, 0.1]), np.array([1, 1, 1, 0.0])) == 0.8
     assert pii.threshold(np.array([0.9]), np.array([0.0])) == 2
     assert pii.threshold(np.array([]), np.array([])) == 2
+
+
+def test_parts_taken_answer_like_a_plain_look():
+    rng = random.Random(8)
+    for _ in range(200):
+        spans = [(0, a, a + rng.randint(1, 9)) for a in (rng.randrange(60) for _ in range(rng.randrange(8)))]
+        taken = pii.Taken(spans)
+        for start in range(64):
+            for end in (start + 1, start + 4):
+                assert taken.free(start, end) is not any(s < end and start < e for _, s, e in spans)
+        start = next((a for a in range(64) if taken.free(a, a + 2)), None)
+        if start is not None:
+            taken.take(start, start + 2)
+            assert not taken.free(start + 1, start + 2) and taken.starts == sorted(taken.starts)
+
+
+def test_spans_of_a_long_text_take_time_in_proportion():
+    def seconds(lines):
+        text = "\n".join(f"call +1 555 {n:07d} or 10.0.{n % 256}.7, card 4111 1111 1111 1111" for n in range(lines))
+        began = time.perf_counter()
+        assert len(list(pii.examples(text))) >= 3 * lines
+        return time.perf_counter() - began
+
+    seconds(200)
+    assert seconds(16_000) < 24 * seconds(2_000)

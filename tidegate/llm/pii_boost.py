@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -158,6 +159,29 @@ def around(text: str, start: int, end: int) -> tuple[str, str]:
     return text[max(0, start - WINDOW) : start], text[end : end + WINDOW]
 
 
+class Taken:
+    """Parts of a text that are taken, without overlap and in order, so that a look takes a bisection."""
+
+    def __init__(self, spans: list[Span] = ()):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for _, start, end in sorted(spans, key=lambda x: x[1:]):
+            if self.ends and start < self.ends[-1]:
+                self.ends[-1] = max(end, self.ends[-1])
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def free(self, start: int, end: int) -> bool:
+        at = bisect_left(self.starts, end)  # the parts before it start before ``end``
+        return not at or self.ends[at - 1] <= start
+
+    def take(self, start: int, end: int) -> None:
+        at = bisect_left(self.starts, start)
+        self.starts.insert(at, start)
+        self.ends.insert(at, end)
+
+
 Example = tuple[int, bool, list[float], str]
 
 
@@ -168,8 +192,9 @@ def examples(text: str) -> Iterator[Example]:
         before, after = around(text, start, end)
         for span in (text[start:end], disturbed(kind, text[start:end])):
             yield kind, True, features(kind, span, before, after), f"{before}\n{span}\n{after}"
+    taken = Taken(base)
     for kind, start, end in loose_spans(text):
-        if not any(s < end and start < e for _, s, e in base):
+        if taken.free(start, end):
             before, after = around(text, start, end)
             span = text[start:end]
             yield kind, False, features(kind, span, before, after), f"{before}\n{span}\n{after}"
@@ -186,18 +211,17 @@ class Selector:
         if not text:
             return [], []
         base = base_spans(text)
-        loose = [
-            x for x in loose_spans(text) if not any(s < x[2] and x[1] < e for _, s, e in base)
-        ]
+        taken = Taken(base)
+        loose = [x for x in loose_spans(text) if taken.free(*x[1:])]
         if not loose or min(self.thresholds) > 1:
             return base, base
         table = np.array([features(k, text[s:e], *around(text, s, e)) for k, s, e in loose])
         chosen = list(base)
-        scores = self.trees.probability(table).tolist()
+        scores, added = self.trees.probability(table).tolist(), Taken()
         for score, span in sorted(zip(scores, loose, strict=True), key=lambda x: (-x[0], x[1])):
-            free = all(e <= span[1] or span[2] <= s for _, s, e in chosen[len(base) :])
-            if score >= self.thresholds[span[0]] and free:
+            if score >= self.thresholds[span[0]] and added.free(*span[1:]):
                 chosen.append(span)
+                added.take(*span[1:])
         return base, sorted(chosen)
 
 
