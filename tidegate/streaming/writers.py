@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidegate.columns import named
 
-FILES_PER_PARTITION = 4
+FILES_PER_PARTITION = 1
 TRIGGER = {"processingTime": "500 milliseconds"}
 
 
@@ -25,8 +25,9 @@ def write_windows_csv(
     The groups of a window lie in all shuffle partitions, and each of those would leave
     a file in the folder. So a batch's rows of a folder are brought into
     ``files_per_partition`` tasks before the write, each of which leaves one file at most.
-    ``None`` leaves them spread, for windows with very many groups. Pass no
-    ``partition_by`` for one flat folder, as short windows make very many.
+    A batch's rows of a window are its groups, so one file is the default; take more for
+    windows with millions of groups, and ``None``, which leaves them spread, for more yet. Pass
+    no ``partition_by`` for one flat folder, as short windows make very many.
     """
     if partition_by and files_per_partition:
         others = [c for c in windows.columns if c not in partition_by]
