@@ -8,9 +8,11 @@ their format and of the words around them, and a threshold for each kind, calibr
 rows the trees have not seen, selects those to redact.
 
 No spans are labelled, so the trees learn from the base spans: a base span is a
-positive as it stands and once more with its format disturbed as writers do it
-(plus sign, separators or at-sign changed); candidates that touch no base span
-are negatives. Candidates of all documents are stored, equal ones (features, span and
+positive as it stands and in several free formats (plus sign, separators or
+at-sign changed), and a negative in formats with what makes it valid broken (a part of an address too large, commas between its parts, a wrong check digit,
+a number cut to a date or a range of pages). A candidate that touches no base span is a negative if its format
+is not that of its kind (``plausible``); if it is, nobody knows, and it teaches nothing: free
+formats that a corpus holds are not learned as clean text. Candidates of all documents are stored, equal ones (features, span and
 words around it) once with a count, so copies of a text teach once. By a bit of their
 hash half of them are for the trees, of which each kind gives, of positives and of
 negatives each, an equal part of ``SAMPLE``, in the order of the hash. All of the
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -40,6 +43,8 @@ KINDS = ["email", "ip", "card", "phone"]
 SAMPLE = 20_000
 #: Least share of true positives among what a threshold selects, on held-out candidates.
 PRECISION = 0.95
+#: No threshold is lower: what is likelier no personal data stays.
+LEAST = 0.5
 #: Bins of scores for the thresholds: lower edges, a hundredth apart on the scale the trees add up on.
 EDGES = 1 / (1 + np.exp(-np.linspace(-30, 30, 6_001)))
 
@@ -56,11 +61,12 @@ DIGIT = re.compile(r"[0-9]")
 LOOSE = [
     re.compile(
         r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}[ ]?(?:@|\(at\)|\[at\]|[ ]at[ ])[ ]?[A-Za-z0-9-]{1,63}"
-        r"(?:[ ]?(?:\.|\(dot\)|\[dot\]|[ ]dot[ ])[ ]?[A-Za-z0-9-]{1,63}){1,4}",
+        # A plain dot has spaces on both sides or none: "at noon. Then" is no address.
+        r"(?:(?:\.|[ ]\.[ ]|[ ]?(?:\(dot\)|\[dot\]|[ ]dot[ ])[ ]?)[A-Za-z0-9-]{1,63}){1,4}",
         re.IGNORECASE,
     ),
     re.compile(r"(?<![0-9.])[0-9]{1,3}(?:[ ]?[.,\[\]]+[ ]?[0-9]{1,3}){3}(?![0-9])"),
-    re.compile(r"(?<![0-9])[0-9]{4}(?:[ ./_-]{0,2}[0-9]{2,4}){3,4}(?![0-9])"),
+    re.compile(r"(?<![0-9])[0-9]{4}(?:[ ./_-]{0,3}[0-9]{2,4}){3,4}(?![0-9])"),
     re.compile(r"(?<![0-9+])\(?[0-9]{2,5}[)\x20./-]{1,2}[0-9]{2,5}(?:[\x20./-]{1,2}[0-9]{2,5}){0,3}(?![0-9])"),
 ]
 #: Words before a span that speak for a kind, in the order of KINDS.
@@ -116,16 +122,62 @@ def loose_spans(text: str) -> list[Span]:
     ]
 
 
-def disturbed(kind: int, span: str) -> str:
-    """A base span as it looks in a freer hand."""
+def plausible(kind: int, span: str) -> bool:
+    """Whether a candidate has a format of its kind, free ones included."""
+    digits = re.sub(r"[^0-9]", "", span)
+    groups = re.findall(r"[0-9]+", span)
+    if kind == 0:
+        return bool(re.search(r"[A-Za-z]{2,24}$", span))
+    if kind == 1:
+        return "," not in span and all(int(g) <= 255 for g in groups)
+    if kind == 2:
+        return 16 <= len(digits) <= 19 and luhn(digits)
+    sizes = [len(g) for g in groups]
+    spoken = len(groups) > 2 or span.startswith(("(", "0"))  # else a range of two numbers
+    return 8 <= len(digits) <= 15 and spoken and sizes not in ([4, 2, 2], [2, 2, 4])
+
+
+def disturbed(kind: int, span: str) -> list[str]:
+    """A base span as it looks in freer hands."""
+    digits = re.sub(r"[^0-9]", "", span)
+    if kind == 0:
+        local, _, host = span.rpartition("@")
+        name, short = re.sub(r"[0-9]", "", local) or local, ".".join(host.split(".")[-2:])
+        return [
+            f"{local} at {host}".replace(".", " dot "), f"{name} at {short}", f"{name} @ {host}",
+            f"{local} (at) {short}", f"{name}[at]{short}", f"{name}(at){host.replace('.', '(dot)')}",
+        ]
+    if kind == 1:
+        return [span.replace(".", dot) for dot in (" . ", "[.]", ". ")]
+    if kind == 2:
+        fours = [digits[i : i + 4] for i in range(0, len(digits), 4)]
+        return [gap.join(fours) for gap in (".", "/", "_", "  ", " - ")]
+    bare = re.sub(r"^\+[0-9]*[ ]?", "", span)
+    groups = re.findall(r"[0-9]+", bare)
+    return [bare, "-".join(groups), ".".join(groups), "0" + " ".join(groups)]
+
+
+def broken(kind: int, span: str) -> list[str]:
+    """A base span as something else: in formats that writers use, but not valid."""
+    digits = re.sub(r"[^0-9]", "", span)
+    turn = zlib.crc32(span.encode())
     if kind == 0:
-        return span.replace("@", " at ").replace(".", " dot ")
+        local, _, host = span.rpartition("@")
+        name, short = re.sub(r"[0-9]", "", local) or local, ".".join(host.split(".")[-2:-1])
+        last = str(turn % 100)
+        return [f"{local} at {short}.{last}", f"{name} @ {host}.{last}", f"{name} at {last[0]}.{turn // 100 % 60}", f"{name}@{short}.{last}"]
     if kind == 1:
-        return span.replace(".", " . ")
+        parts = span.split(".")
+        large = [*parts]
+        large[turn % 4] = str(256 + turn // 4 % 744)
+        return [".".join(large), " . ".join(large), "[.]".join(large), ", ".join(parts), ",".join(parts)]
     if kind == 2:
-        digits = re.sub(r"[ -]", "", span)
-        return ".".join(digits[i : i + 4] for i in range(0, len(digits), 4))
-    return re.sub(r"^\+[0-9]*[ ]?", "", span)
+        wrong = digits[:-1] + str((int(digits[-1]) + 1 + turn % 9) % 10)
+        fours = [wrong[i : i + 4] for i in range(0, len(wrong), 4)]
+        return [gap.join(fours) for gap in ("", " ", "-", ".", "/", "_")]
+    a, b, c = digits[-2:], digits[-4:-2], digits[-7:-4]
+    long = "/".join([digits[-4:], digits[-6:-2], digits[-8:-4], digits[-5:-1]])
+    return [long, f"{a}-{c}", f"{c}-{b}{a}", f"20{a}-{b}-{c[:2]}", f"{a}/{b}/20{c[:2]}", f"19{a}-20{b}", f"{b}.{a}", f"{b}.{a}.19{c[:2]}"]
 
 
 def features(kind: int, span: str, before: str, after: str) -> list[float]:
@@ -142,10 +194,15 @@ def features(kind: int, span: str, before: str, after: str) -> list[float]:
         float(min(map(len, groups), default=0)),
         float(sum(c.isalpha() for c in span)),
         float(span.count(".") + span.lower().count("dot")),
+        float(span.count(",")),
+        float(len(groups[0]) if groups else 0),
+        float(len(groups[-1]) if groups else 0),
+        float(span.startswith(("(", "0"))),
         float(sum(c in " -/()" for c in span)),
-        float("@" in span or " at " in span.lower()),
+        float(bool(AT.search(span))),
         float(len(digits) >= 12 and luhn(digits)),
         float(max((int(g[-4:]) for g in groups), default=0)),
+        float(all(int(g[-4:]) <= 255 for g in groups)),
         float(len(re.split(r"[^A-Za-z]+", span)[-1])),
         *[float(bool(cues & set(near))) for cues in CUES],
         float(before[-1:].isspace() or not before),
@@ -190,13 +247,15 @@ def examples(text: str) -> Iterator[Example]:
     base = base_spans(text)
     for kind, start, end in base:
         before, after = around(text, start, end)
-        for span in (text[start:end], disturbed(kind, text[start:end])):
-            yield kind, True, features(kind, span, before, after), f"{before}\n{span}\n{after}"
+        span = text[start:end]
+        forms = [(True, x) for x in (span, *disturbed(kind, span))] + [(False, x) for x in broken(kind, span)]
+        for true, form in forms:
+            yield kind, true, features(kind, form, before, after), f"{before}\n{form}\n{after}"
     taken = Taken(base)
     for kind, start, end in loose_spans(text):
-        if taken.free(start, end):
+        span = text[start:end]
+        if taken.free(start, end) and not plausible(kind, span):
             before, after = around(text, start, end)
-            span = text[start:end]
             yield kind, False, features(kind, span, before, after), f"{before}\n{span}\n{after}"
 
 
@@ -240,6 +299,18 @@ def threshold(
     return float(ranked[good[-1]]) if len(good) else 2.0
 
 
+def eased(limit: float, scores: np.ndarray) -> float:
+    """``limit``, half-way down (in log odds) to the next score that candidates have; ``LEAST`` at least.
+
+    Between the two nothing was seen, and free formats score a little below those learned from.
+    """
+    below = scores[scores < limit]
+    if limit <= 1 and len(below):
+        odds = np.log([limit / (1 - limit), below.max() / (1 - below.max())])
+        limit = float(1 / (1 + np.exp(-odds.mean())))
+    return max(LEAST, limit)
+
+
 def candidates(docs: DataFrame) -> DataFrame:
     """(place, kind, truth, features, n): the candidates of all texts, equal ones once with their number."""
     kinds = "place bigint, kind int, truth boolean, features array<double>, n bigint"
@@ -319,7 +390,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Selector:
     for kind in range(len(KINDS)):
         bins = [(EDGES[r["bin"]], r["truth"], r["n"]) for r in counted if r["kind"] == kind]
         edges, true, times = np.array(bins, dtype=float).reshape(-1, 3).T
-        thresholds.append(threshold(edges, true, times=times))
+        thresholds.append(eased(threshold(edges, true, times=times), edges))
     return Selector(trees, thresholds)
 
 
