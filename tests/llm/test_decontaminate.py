@@ -45,7 +45,8 @@ def test_whole_table(spark, most):
     assert found(dc.contamination(docs, items, broadcast_windows=most)) == want
 
 
-def test_awkward_rows(spark):
+@pytest.mark.parametrize("most", [0, dc.BROADCAST_WINDOWS])
+def test_awkward_rows(spark, most):
     schema = "item_id bigint, text string"
     items = [
         (1, "THE cat, sat!"), (2, None), (3, ""), (4, "word " * 20), (4, "one"), (None, "É-è"),
@@ -53,9 +54,12 @@ def test_awkward_rows(spark):
     ]
     benchmark = spark.createDataFrame(items, schema)
     rows = [row[:2] for row in AWKWARD]
-    assert found(dc.contamination(awkward(spark), benchmark)) == expected(rows, items)
-    assert found(dc.contamination(awkward(spark), benchmark.limit(0))) == expected(rows, [])
-    assert found(dc.contamination(awkward(spark, empty=True), benchmark)) == []
+    def judged(docs, items):
+        return found(dc.contamination(docs, items, broadcast_windows=most))
+
+    assert judged(awkward(spark), benchmark) == expected(rows, items)
+    assert judged(awkward(spark), benchmark.limit(0)) == expected(rows, [])
+    assert judged(awkward(spark, empty=True), benchmark) == []
 
 
 def test_case_folds_for_a_to_z_only(spark):
@@ -79,3 +83,53 @@ def test_windows_with_equal_samples_are_verified(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
     assert found(dc.contamination(docs, benchmark)) == expected(rows, [(1, " ".join(item))])
+
+
+def shuffled(df):
+    """The types of the columns of all shuffles in the plan of ``df``."""
+    types = []
+    plan = df._jdf.queryExecution().executedPlan()
+    todo = [plan.executedPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "Exchange":
+            out = node.output()
+            types.append({out.apply(i).name(): out.apply(i).dataType().simpleString() for i in range(out.size())})
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return types
+
+
+def test_the_shuffle_form_moves_no_token_arrays(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs, items = documents(spark), spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
+        result = dc.contamination(docs, items, broadcast_windows=0)
+        moved = shuffled(result)
+        assert len(moved) >= 6
+        assert not [m for m in moved if "tokens" in m]
+        windows = [m for m in moved if {"at", "key"} <= set(m) and "seen" not in m]  # the one length is a literal
+        assert windows and all("text" not in m for m in windows)
+        assert found(result) == expected(pairs(docs, "doc_id", "text"), pairs(items, "item_id", "text"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_window_that_many_items_share_is_one_row(spark):
+    text = " ".join(f"w{i}" for i in range(13))
+    benchmark = spark.createDataFrame([(i, text) for i in range(500)], "item_id bigint, text string")
+    assert [len(r["items"]) for r in dc.benchmark_windows(benchmark).collect()] == [500]
+    docs = spark.createDataFrame([(1, text), (1, text), (None, text), (2, "x " + text)], "doc_id bigint, text string")
+    rows, items = pairs(docs, "doc_id", "text"), pairs(benchmark, "item_id", "text")
+    for most in (0, 10):
+        assert found(dc.contamination(docs, benchmark, broadcast_windows=most)) == expected(rows, items)
+
+
+def test_many_bytes_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(dc, "BROADCAST_BYTES", 10)
+    monkeypatch.setattr(dc, "_hits_by_broadcast", None)
+    rows, items = [(1, "a b c"), (2, "d")], [(1, "b c")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    assert found(dc.contamination(docs, benchmark)) == expected(rows, items)

@@ -3,8 +3,11 @@
 The windows of all benchmark items are hashed and broadcast, each row with the
 n-gram itself. Documents are cut to words, each window is hashed by a few words spread
 over it, and the hash join keeps those that may occur in the benchmark; they are
-verified word by word.
-Everything is built-in functions; no row of a document is shuffled, only its hits.
+verified word by word. Everything is built-in functions; no text is shuffled, only its hits.
+
+Benchmarks beyond ``BROADCAST_WINDOWS`` or ``BROADCAST_BYTES`` are not broadcast. Then the
+documents' windows are shuffled as document, place and key; texts join the documents that
+have such keys once, and only the windows found are cut out of them for verification.
 
 Words: A-Z lower-cased, then runs of digits, a-z and characters beyond ASCII. A
 window is ``WINDOW`` consecutive words of one item; a shorter item is one window.
@@ -14,19 +17,19 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.frames import fields, indexes, words
+from tidegate.llm.frames import fields, indexes, stored, words
 
 WINDOW = 13
 #: A document is contaminated if at least one word in so many is hit.
 ONE_IN = 20
 #: Words of a window that its key hashes.
 SAMPLES = 5
-#: Above so many benchmark windows the set is joined by sort-merge instead.
+#: Above so many benchmark windows, or bytes of them, the set is joined by shuffles instead.
 BROADCAST_WINDOWS = 500_000
+BROADCAST_BYTES = 128 * 1024 * 1024
 
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -71,7 +74,10 @@ def _grams(read: DataFrame, lengths: list[int]) -> DataFrame:
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(key, len, gram, item_id): each window of each item; items without words have none."""
+    """(key, gram_len, gram, items): each window once, with the ids, as strings, of the items that have it.
+
+    Items without words have none; items without an id are not listed.
+    """
     items = fields(benchmark, "item_id", "text").select(
         "item_id", words(folded(F.col("text")), SEPARATOR).alias("tokens")
     )
@@ -92,12 +98,55 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
                 range(1, window + 1),
                 F.lit(None).cast("long"),
             ).alias("key"),
-            F.size("gram").alias("len"),
+            F.size("gram").alias("gram_len"),
             F.array_join("gram", " ").alias("gram"),
-            "item_id",
+            F.col("item_id").cast("string").alias("item"),
         )
-        .distinct()
+        .groupBy("key", "gram_len", "gram")
+        .agg(F.array_sort(F.collect_set("item")).alias("items"))
+    )
+
+
+def _window(tokens: str) -> Column:
+    return F.array_join(F.slice(tokens, F.col("at") + 1, F.col("len")), " ")
+
+
+def _tokens(text: str) -> Column:
+    return words(folded(F.col(text)), SEPARATOR).alias("tokens")
+
+
+def _hits_by_broadcast(read: DataFrame, grams: DataFrame, lengths: list[int]) -> DataFrame:
+    """(doc_id, content, at, len, items): the documents' windows that are in ``grams``."""
+    return (
+        _grams(read.select("doc_id", "content", _tokens("text")), lengths)
+        .join(F.broadcast(grams), "key")  # a join on one long is the fastest
+        .where((F.col("len") == F.col("gram_len")) & (_window("tokens") == F.col("gram")))
+        .select("doc_id", "content", "at", "len", "items")
+    )
+
+
+def _hits_by_shuffle(read: DataFrame, grams: DataFrame, lengths: list[int]) -> DataFrame:
+    """As ``_hits_by_broadcast``; what is shuffled grows with the text, not with its square."""
+    sized = F.col("len") == F.col("gram_len")
+    known = grams.select("key", "gram_len").distinct()
+    places = (
+        _grams(read.select("doc_id", "content", _tokens("text")), lengths)
+        .select("doc_id", "content", "at", "len", "key")
+        .join(known, "key")
+        .where(sized)
+        .groupBy("doc_id", "content")
+        .agg(F.collect_set(F.struct("at", "len", "key")).alias("places"))
+        .toDF("hit_id", "hit_content", "places")
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("content") == F.col("hit_content"))
+    cut = (
+        read.join(places, same)
+        .select("doc_id", "content", _tokens("text"), "places")
+        .select("doc_id", "content", "tokens", F.inline("places"))
+        .select("doc_id", "content", "at", "len", "key", _window("tokens").alias("seen"))
     )
+    found = cut.join(grams, "key").where(sized & (F.col("seen") == F.col("gram")))
+    return found.select("doc_id", "content", "at", "len", "items")
 
 
 def contamination(
@@ -116,32 +165,24 @@ def contamination(
     ``hit_at`` lists the 0-based positions of the hit words. A null or empty text
     has no words, no hits and is clean; so is every document if the benchmark is
     empty. Repeated rows get equal answers, a null doc_id is kept. Items without
-    an id hit words but are not counted; an id given twice counts once. Columns
-    other than doc_id, text and item_id are ignored.
+    an id hit words but are not counted; an id given twice counts once. An empty table of
+    documents gives no rows. A very long text has one row a window inside its task, and the
+    places it is hit at, a list as long as the text at most, in its own row. Columns other
+    than doc_id, text and item_id are ignored.
     """
-    grams = benchmark_windows(benchmark, window).persist(StorageLevel.MEMORY_AND_DISK)
-    known = grams.agg(F.count("*"), F.collect_set("len")).first()
-    grams = grams.withColumnRenamed("len", "gram_len")
-    if known[0] <= broadcast_windows:
-        grams = F.broadcast(grams)
-    lengths = sorted(known[1]) or [window]
-
-    read = fields(docs, "doc_id", "text").select(
-        "doc_id",
-        F.xxhash64("text").alias("content"),
-        words(folded(F.col("text")), SEPARATOR).alias("tokens"),
-    )
+    grams = stored(benchmark_windows(benchmark, window), "benchmark-windows")
+    held = F.octet_length("gram") + F.octet_length(F.array_join("items", ",")) + 8 * F.size("items") + 64
+    n, lengths, size = grams.agg(F.count("*"), F.collect_set("gram_len"), F.sum(held.cast("long"))).first()
+    small = n <= broadcast_windows and (size or 0) <= BROADCAST_BYTES
+    hits = _hits_by_broadcast if small else _hits_by_shuffle
+
+    read = fields(docs, "doc_id", "text").select("doc_id", F.xxhash64("text").alias("content"), "text")
     found = (
-        _grams(read, lengths)
-        .join(grams, "key")  # a join on one long is the fastest
-        .where(
-            (F.col("len") == F.col("gram_len"))
-            & (F.array_join(F.slice("tokens", F.col("at") + 1, F.col("len")), " ") == F.col("gram"))
-        )
+        hits(read, grams, sorted(lengths) or [window])
         .groupBy("doc_id", "content")
         .agg(
             F.collect_set(F.struct("at", "len")).alias("spans"),
-            F.collect_set(F.col("item_id").cast("string")).alias("items"),
+            F.collect_set("items").alias("items"),
         )
         .select(
             F.col("doc_id").alias("hit_id"),
@@ -155,10 +196,10 @@ def contamination(
                     )
                 )
             ).alias("hit_at"),
-            F.array_sort("items").alias("items"),
+            F.array_sort(F.array_distinct(F.flatten("items"))).alias("items"),
         )
     )
-    counted = read.select("doc_id", "content", F.size("tokens").cast("long").alias("n_words"))
+    counted = read.select("doc_id", "content", F.size(_tokens("text")).cast("long").alias("n_words"))
     none = F.array().cast("array<string>")
     content = ["content"] if with_content else []
     return (
